@@ -16,20 +16,26 @@ def drop_history(candidates: DataFrame, history: DataFrame) -> DataFrame:
     return candidates.join(history.select("id"), "id", "left_anti")
 
 
-def merge_recommended(previous: DataFrame, entries: DataFrame) -> DataFrame:
+def merge_recommended(previous: DataFrame, entries: DataFrame, run: int) -> DataFrame:
     """Earlier ids in their order, then the new digest ids, papers before blogs.
 
-    The order is carried by (`part`, `pos`): 0 for earlier ids, 1 for papers, 2 for blogs.
-    A minimum per id combines before the shuffle, unlike a window over all ids.
+    The order is carried by (`run`, `part`, `pos`), so no global numbering is
+    needed. A minimum per id combines before the shuffle, unlike a window.
     """
     new = entries.select(
         F.col("item_id").alias("id"),
-        F.when(F.col("kind") == "paper", F.lit(1)).otherwise(F.lit(2)).alias("part"),
+        F.lit(run).cast("bigint").alias("run"),
+        F.when(F.col("kind") == "paper", F.lit(1)).otherwise(F.lit(2)).cast("bigint").alias("part"),
         F.col("rank").cast("bigint").alias("pos"),
     )
-    old = previous.select("id", F.lit(0).alias("part"), F.col("pos").cast("bigint").alias("pos"))
-    first = F.min(F.struct("part", "pos"))
-    return old.union(new).groupBy("id").agg(first.alias("f")).select("id", "f.part", "f.pos")
+    first = F.min(F.struct("run", "part", "pos"))
+    return (
+        previous.select("id", "run", "part", "pos")
+        .union(new)
+        .groupBy("id")
+        .agg(first.alias("f"))
+        .select("id", "f.run", "f.part", "f.pos")
+    )
 
 
 def merge_source_states(previous: DataFrame, current: DataFrame) -> DataFrame:

@@ -29,6 +29,11 @@ def rejected(proposed: Column, supported: Column) -> Column:
     return F.size(proposed) - F.size(ground(proposed, supported))
 
 
+def ground_rows(proposals: DataFrame, supported: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Long form of `ground`: (kept, rejected) proposal rows."""
+    return proposals.join(supported, list(keys), "left_semi"), proposals.join(supported, list(keys), "left_anti")
+
+
 def supported_labels() -> Column:
     return F.concat(*[F.col(group) for group in GROUPS])
 
@@ -47,7 +52,7 @@ def parse_responses(responses: DataFrame, schema: str, allowed: Sequence[str], k
             F.lit("unknown_field"),
         )
     )
-    return parsed.select(key, reason.alias("reason"), F.from_json("body", schema).alias("r"))
+    return parsed.select(key, reason.alias("reason"), F.when(reason.isNull(), F.from_json("body", schema)).alias("r"))
 
 
 def assign_batches(df: DataFrame, order: Sequence[Column], size: int, within: Sequence[str] = ()) -> DataFrame:
@@ -94,9 +99,12 @@ def resolve(
     requested: DataFrame, returned: DataFrame, batches: DataFrame, batch_keys: Sequence[str], summary_limit: int,
     script: str = CJK,
 ) -> DataFrame:
-    """Grounded model metadata for sound batches, rule metadata for every row of the others."""
+    """Grounded model metadata for sound batches, rule metadata for every row of the others.
+
+    Only answers of sound batches take part in the join: there every id occurs once.
+    """
     flags = batches.where("ok").select(*batch_keys, F.lit(True).alias("sound"))
-    model = returned.select(
+    model = returned.join(flags, list(batch_keys), "left_semi").select(
         *batch_keys, "id", F.col("summary").alias("m_summary"), F.col("proposed"), F.col("relevance")
     )
     rows = requested.join(flags, list(batch_keys), "left").join(model, [*batch_keys, "id"], "left")

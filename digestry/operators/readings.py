@@ -149,15 +149,15 @@ def second_source_content(candidates: DataFrame, feed_rows: DataFrame) -> DataFr
     def lookup(column: str) -> DataFrame:
         return (
             bodies.where(blank_to_null(F.col(column)).isNotNull())
-            .groupBy("source_id", F.col(column).alias(f"key_{column}"))
+            .groupBy(F.col("source_id").alias("key_source"), F.col(column).alias("key_value"))
             .agg(F.max_by("body", "feed_order").alias(f"by_{column}"))
         )
 
     result = candidates
     for column in ("id", "url_norm", "title_norm"):
         side = lookup(column)
-        on = (result["source_id"] == side["source_id"]) & (result[column] == side[f"key_{column}"])
-        result = result.join(side, on, "left").drop(side["source_id"]).drop(f"key_{column}")
+        on = (F.col("source_id") == F.col("key_source")) & (F.col(column) == F.col("key_value"))
+        result = result.join(side, on, "left").drop("key_source", "key_value")
     source = (
         F.when(F.col("by_id").isNotNull(), F.lit("id"))
         .when(F.col("by_url_norm").isNotNull(), F.lit("url"))

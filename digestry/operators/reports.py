@@ -42,6 +42,11 @@ def success_gate(rates: DataFrame, minimum: float) -> DataFrame:
     return rates.select("name", "succeeded", "attempted", rate.alias("rate"), (rate >= minimum).alias("passed"))
 
 
+def run_rate(gated: DataFrame) -> DataFrame:
+    """The rate of the whole run is the lowest of its parts."""
+    return gated.agg(F.min("rate").alias("rate"), F.bool_and("passed").alias("passed"))
+
+
 def source_status(sources: DataFrame, warnings: DataFrame) -> DataFrame:
     """Per enabled source the first warning that starts with its id; success when there is none."""
     tagged = warnings.select(F.split_part("warning", F.lit(":"), F.lit(1)).alias("source_id"), "warning", "pos")

@@ -26,7 +26,7 @@ def item_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("published_at", "yyyy-MM").alias("month"),
     )
     path = scratch_path(spark, "items")
-    items.write.partitionBy("month").json(path)
+    items.hint("rebalance", "month").write.partitionBy("month").json(path)
     schema = "id string, kind string, title string, published string, targets array<string>, relevance_score double"
     return store.read_documents(spark, path, schema, multi_line=False).select(
         "id", "kind", "title", "published", joined(F.col("targets")).alias("targets"),

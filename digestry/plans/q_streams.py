@@ -1 +1,58 @@
+"""Streaming versions, run to the end of the available input."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from digestry.functions.identity import stable_id
+from digestry.plans import roles
+from digestry.plans.catalog import query
+from digestry.plans.roles import NOW, SETTINGS, TAXONOMY
+from digestry.session import scratch_path
+from digestry.streaming import ingest
+from digestry.streaming.digest import digest_step, latest_state
+
+
+def paper_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = ingest.read_files(spark, sf_dir, "documents.parquet")
+    return docs.select(
+        F.col("doc_id").alias("row_key"),
+        F.lit("paper").alias("kind"),
+        F.col("source").alias("source_id"),
+        roles.first_line(F.col("text")).alias("title"),
+        F.lit(None).cast("string").alias("url"),
+        roles.hours_ago(F.col("doc_id"), 52560).alias("published_at"),
+        F.col("text").alias("excerpt"),
+        F.array("lang").alias("categories"),
+        roles.pick(roles.WEIGHTS, F.substring("source", 4, 9).cast("int") % 5).alias("source_weight"),
+        stable_id(roles.first_line(F.col("text"))).alias("id"),
+    )
+
+
+@query
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = paper_stream(spark, sf_dir).select("id", "row_key", "published_at")
+    return ingest.run_to_table(ingest.dedupe(rows, salt="row_key").select("id"), "dedupe")
+
+
+@query
+def stream_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = paper_stream(spark, sf_dir).select("id", "row_key")
+    return ingest.run_to_table(ingest.drop_history(rows, roles.history(spark, sf_dir)), "antijoin")
+
+
+@query
+def stream_daily_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per business day and type; days that could still change are held back by the watermark."""
+    events = ingest.read_files(spark, sf_dir, "events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    days = ingest.run_to_table(ingest.daily_counts(events, "ts", "event_type"), "daily")
+    return days.withColumn("business_date", roles.day(F.col("business_date")))
+
+
+@query
+def stream_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per micro-batch: prefilter, rank, digest, and the recommended ids rewritten last."""
+    root = scratch_path(spark, "stream-digest")
+    ingest.run_batches(paper_stream(spark, sf_dir), "digest", digest_step(root, TAXONOMY, SETTINGS, NOW))
+    return latest_state(spark, root)

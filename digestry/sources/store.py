@@ -63,7 +63,9 @@ def write_items(items: DataFrame, path: str, max_item_bytes: int) -> None:
             "month": F.date_format("published_at", "MM"),
         }
     )
-    with_parts.write.mode("overwrite").partitionBy("folder", "year", "month").parquet(path)
+    # Rebalancing keeps the number of files near the number of months and splits a month that is too large.
+    parts = ["folder", "year", "month"]
+    with_parts.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
 
 
 def write_digest(entries: DataFrame, path: str) -> bool:
