@@ -17,6 +17,16 @@ from digestry.functions.bind import let
 # Whitespace as Unicode text processing understands it; Java's \s alone is ASCII.
 WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+# The same characters as a list, for trimming ends without a pattern.
+SPACES = "".join(
+    chr(code)
+    for first, last in (
+        (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+        (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+    )
+    for code in range(first, last + 1)
+)
+
 # Whitespace beyond space, tab and line breaks, written as a complement that plain text leaves quickly.
 _RARE_SPACE = (
     r"[^\t\n\r\x20-\x84\x86-\x9f\xa1-\x{167f}\x{1681}-\x{1fff}\x{200b}-\x{2027}"
@@ -61,7 +71,7 @@ def collapse(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def fold(text: Column) -> Column:
@@ -179,8 +189,8 @@ def drop_repeated_half(text: Column, min_chars: int = 80) -> Column:
             parts["whole"].alias("whole"),
             parts["left"].alias("left"),
             parts["right"].alias("right"),
-            F.regexp_replace(parts["left"], WHITESPACE + "+$", "").alias("head"),
-            F.regexp_replace(parts["right"], f"^{WHITESPACE}+", "").alias("tail"),
+            F.rtrim(parts["left"], F.lit(SPACES)).alias("head"),
+            F.ltrim(parts["right"], F.lit(SPACES)).alias("tail"),
         )
 
     def choose(parts: Column) -> Column:
@@ -197,7 +207,8 @@ def drop_repeated_half(text: Column, min_chars: int = 80) -> Column:
 
 def display_text(text: Column) -> Column:
     """Repeated half removed and escaped percent, ampersand, underscore and hash signs restored."""
-    return F.regexp_replace(drop_repeated_half(text), r"\\([%&_#])", "$1")
+    escaped = lambda t: F.when(F.contains(t, F.lit("\\")), F.regexp_replace(t, r"\\([%&_#])", "$1")).otherwise(t)
+    return let(drop_repeated_half(text), escaped)
 
 
 def words_regex(term: str) -> str:

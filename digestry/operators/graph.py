@@ -262,8 +262,8 @@ def edge_kind() -> Column:
 
 def statistics(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Content nodes and edges of a graph, one row."""
-    left = nodes.agg(F.count_if(is_content(F.col("type"))).alias("content_nodes"), F.count("*").alias("nodes"))
-    return left.crossJoin(F.broadcast(edges.agg(F.count("*").alias("edges"))))
+    counted = nodes.agg(F.count_if(is_content(F.col("type"))).alias("content_nodes"), F.count("*").alias("nodes"))
+    return counted.withColumn("edges", edges.agg(F.count("*")).scalar())
 
 
 def violations(nodes: DataFrame, edges: DataFrame, cap: int) -> DataFrame:

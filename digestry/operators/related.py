@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from digestry.config import GROUPS
 from digestry.operators.select_best import best_per_key
+from digestry.session import stage
 
 
 def _subsets(labels: Column) -> Column:
@@ -51,10 +52,12 @@ def _set_matches(sets: DataFrame, best: DataFrame, keep: int, max_listed: int) -
     asking = sets.where(F.size("labels") <= max_listed).withColumn("part", F.explode(_subsets(F.col("labels"))))
     listed = asking.join(offered, "part").drop("part")
 
-    left = sets.withColumn("label", F.explode("labels"))
-    right = answers.withColumnRenamed("labels", "cand_labels").withColumn("label", F.explode("cand_labels"))
-    either_big = (F.size("labels") > max_listed) | (F.size("cand_labels") > max_listed)
-    wide = left.join(right, "label").where(either_big).drop("label")
+    asked = sets.withColumn("label", F.explode("labels"))
+    answered = answers.withColumnRenamed("labels", "cand_labels").withColumn("label", F.explode("cand_labels"))
+    big, small = F.size("labels") > max_listed, F.size("labels") <= max_listed
+    wide = asked.where(big).join(answered, "label").unionByName(
+        asked.where(small).join(answered.where(F.size("cand_labels") > max_listed), "label")
+    )
 
     shared = F.size(F.array_intersect("labels", "cand_labels")).alias("shared")
     columns = ["labels", shared, "cand_id", "final_score", "published_at"]
@@ -69,7 +72,8 @@ def related_items(items: DataFrame, limit: int = 4, max_listed: int = 10) -> Dat
     labels = F.array_sort(F.array_distinct(F.concat(*[F.col(group) for group in GROUPS])))
     labelled = items.select("id", "final_score", "published_at", labels.alias("labels")).where(F.size("labels") > 0)
     order: Sequence[Column] = [F.col("final_score").desc(), F.col("published_at").desc(), F.col("id")]
-    best = best_per_key(labelled, ["labels"], order, limit + 1, "_r").drop("_r")
+    # A few rows per label set, read several times below.
+    best = stage(best_per_key(labelled, ["labels"], order, limit + 1, "_r").drop("_r"), "best-per-set")
     matches = _set_matches(best.select("labels").distinct(), best, limit + 1, max_listed)
     ranked = best_per_key(matches, ["labels"], [F.col("shared").desc(), *_order()], limit + 1, "pos")
     answers = ranked.groupBy("labels").agg(

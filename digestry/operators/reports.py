@@ -29,11 +29,10 @@ def metadata_counters(resolved: DataFrame, batches: DataFrame, minimum_relevance
             "relevance_rejections"
         ),
     )
-    calls = batches.agg(
-        F.count("*").alias("calls"),
-        F.when(F.count("*") > 0, F.count_if("ok") / F.count("*")).otherwise(F.lit(1.0)).alias("call_success_rate"),
-    )
-    return rows.crossJoin(F.broadcast(calls))
+    rate = F.when(F.count("*") > 0, F.count_if("ok") / F.count("*")).otherwise(F.lit(1.0))
+    calls = batches.agg(F.struct(F.count("*").alias("calls"), rate.alias("rate")).alias("c")).scalar()
+    counted = rows.withColumn("c", calls)
+    return counted.select(*rows.columns, "c.calls", F.col("c.rate").alias("call_success_rate"))
 
 
 def success_gate(rates: DataFrame, minimum: float) -> DataFrame:

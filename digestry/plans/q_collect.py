@@ -20,13 +20,13 @@ from digestry.sources import feeds, store
 
 @query
 def item_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items as JSON documents by kind and month, read back with an explicit schema."""
+    """Items as JSON documents by year, read back with an explicit schema."""
     items = roles.items(spark, sf_dir).select(
         "id", "kind", "title", stamp(F.col("published_at")).alias("published"), "targets", "relevance_score",
-        F.date_format("published_at", "yyyy-MM").alias("month"),
+        F.date_format("published_at", "yyyy").alias("year"),
     )
     path = scratch_path(spark, "items")
-    items.hint("rebalance", "month").write.partitionBy("month").json(path)
+    items.hint("rebalance", "year").write.partitionBy("year").json(path)
     schema = "id string, kind string, title string, published string, targets array<string>, relevance_score double"
     return store.read_documents(spark, path, schema, multi_line=False).select(
         "id", "kind", "title", "published", joined(F.col("targets")).alias("targets"),

@@ -17,9 +17,9 @@ TYPES = ("paper", "target", "method")
 SEARCH = "the"
 
 
-def visible(spark: SparkSession, sf_dir: str) -> DataFrame:
+def visible(spark: SparkSession, sf_dir: str, relations: DataFrame) -> DataFrame:
     """The capped set of shown items; staged, since nodes, edges and weights all start from it."""
-    counts = roles.relations(spark, sf_dir).groupBy("id").agg(F.count("*").alias("relations"))
+    counts = relations.groupBy("id").agg(F.count("*").alias("relations"))
     shown = graph.visible_items(
         roles.items(spark, sf_dir), counts, NOW, SETTINGS.graph_recent_days, SETTINGS.graph_max_nodes
     )
@@ -28,15 +28,15 @@ def visible(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def built(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    nodes, edges = graph.build_graph(visible(spark, sf_dir), roles.relations(spark, sf_dir), TAXONOMY)
+    relations = stage(roles.relations(spark, sf_dir), "relations")
+    nodes, edges = graph.build_graph(visible(spark, sf_dir, relations), relations, TAXONOMY)
     edges = stage(edges, "edges")
-    bare = nodes.drop("weight")
-    return stage(graph.with_weights(bare, edges), "nodes"), edges
+    return stage(graph.with_weights(nodes.drop("weight"), edges), "nodes"), edges
 
 
 @query
 def graph_visible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return visible(spark, sf_dir).select("id", "kind", F.round("visibility", 6).alias("visibility"))
+    return visible(spark, sf_dir, roles.relations(spark, sf_dir)).select("id", "kind", F.round("visibility", 6).alias("visibility"))
 
 
 @query

@@ -87,8 +87,12 @@ def returned_metadata(requested: DataFrame, batch_keys: list[str]) -> DataFrame:
 @query
 def batch_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All eligible candidates in batches; numbering runs inside hash buckets, so no task sees them all."""
+    return validated(stage(roles.eligible_candidates(spark, sf_dir), "eligible"))
+
+
+def validated(eligible: DataFrame) -> DataFrame:
     keys = ["kind", "bucket", "batch"]
-    rows = roles.eligible_candidates(spark, sf_dir).select(
+    rows = eligible.select(
         "id", "kind", "row_key", "title", F.substring("id", -2, 2).alias("bucket"), "metadata_score", "published_at", "source_id"
     )
     requested = metadata.assign_batches(rows, prefilter.score_order(), SETTINGS.batch_size, ["kind", "bucket"])
@@ -97,7 +101,10 @@ def batch_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resolve_top(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(resolved rows, batches) of the prefiltered candidates in their exact global order."""
-    top = stage(prefilter.top_candidates(roles.eligible_candidates(spark, sf_dir), SETTINGS), "prefiltered")
+    return resolve_of(stage(prefilter.top_candidates(roles.eligible_candidates(spark, sf_dir), SETTINGS), "prefiltered"))
+
+
+def resolve_of(top: DataFrame) -> tuple[DataFrame, DataFrame]:
     requested = metadata.assign_batches(top, prefilter.score_order(), SETTINGS.batch_size)
     returned = returned_metadata(requested, ["batch"])
     batches = metadata.validate_batches(requested, returned, ["batch"], LABEL_IDS, SCRIPT)

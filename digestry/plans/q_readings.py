@@ -12,6 +12,7 @@ from digestry.operators import metadata, ranking, readings
 from digestry.plans import roles
 from digestry.plans.catalog import query
 from digestry.plans.roles import MINIMUM_FINAL, NOW, SCRIPT, SETTINGS, TAXONOMY, day, stamp
+from digestry.session import stage
 from digestry.sources.pages import article_text
 
 AVAILABLE_TOKENS = 600
@@ -114,7 +115,11 @@ def reading_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reading_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = roles.eligible_candidates(spark, sf_dir).select("kind", "id", "row_key")
+    return reconciled(stage(roles.eligible_candidates(spark, sf_dir).select("kind", "id", "row_key"), "wanted"))
+
+
+def reconciled(eligible: DataFrame) -> DataFrame:
+    wanted = eligible.select("kind", "id", "row_key")
     key = F.col("row_key")
     results = (
         wanted.where(key % 31 != 0)
@@ -125,9 +130,9 @@ def reading_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("success_rate", F.round("success_rate", 6))
 
 
-def stage_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stage_metadata(spark: SparkSession, sf_dir: str, eligible: DataFrame) -> DataFrame:
     """Eligible candidates with their text again; the text joins late, after selection."""
-    chosen = roles.eligible_candidates(spark, sf_dir).select("kind", "row_key", "published_at", "metadata_score", *GROUPS)
+    chosen = eligible.select("kind", "row_key", "published_at", "metadata_score", *GROUPS)
     texts = roles.candidates(spark, sf_dir).select("kind", "row_key", "id", "source_id", "title", "url", "excerpt", "categories", "source_weight")
     return texts.join(chosen, ["kind", "row_key"]).withColumns(
         {
@@ -141,12 +146,10 @@ def stage_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def item_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings_table = sample_readings(spark, sf_dir).where(F.col("row_key") % 31 != 0).select(
-        "id", "kind", F.col("row_key").alias("reading_key")
-    )
-    meta = stage_metadata(spark, sf_dir)
-    own = readings_table.join(meta.select("id", F.col("row_key").alias("reading_key")), ["id", "reading_key"], "left_semi")
-    assembled = item_ops.assemble(own, meta, MODEL, NOW)
+    chosen = stage(roles.eligible_candidates(spark, sf_dir), "eligible")
+    read = sample_readings(spark, sf_dir).where(F.col("row_key") % 31 != 0).select("id", "kind", F.col("row_key").alias("reading_key"))
+    own = read.join(chosen.select("id", F.col("row_key").alias("reading_key")), ["id", "reading_key"], "left_semi")
+    assembled = item_ops.assemble(own, stage_metadata(spark, sf_dir, chosen), MODEL, NOW)
     return assembled.select(
         "id", "kind", "source", "title", F.md5("abstract").alias("abstract_hash"), "arxiv_id", "doi", "reading_key",
         F.col("llm.model").alias("model"), stamp(F.col("llm.generated_at")).alias("generated"), F.col("llm.degraded").alias("degraded"),
@@ -168,7 +171,7 @@ def publishable_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marked_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = roles.items(spark, sf_dir).select("id")
+    items = stage(roles.items(spark, sf_dir).select("id"), "item-ids")
     own = roles.relations(spark, sf_dir).join(items, "id", "left_semi")
     return item_ops.mark_relations(own, item_ops.allowed_targets(items, TAXONOMY.frame(spark)))
 
@@ -190,18 +193,18 @@ def final_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roles.scored(spark, sf_dir).select("id", "kind", *[F.round(p, 6).alias(p) for p in parts])
 
 
-def ranked_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.rank_items(roles.items(spark, sf_dir), SETTINGS.daily_target, MINIMUM_FINAL)
+def ranked_items(items: DataFrame) -> DataFrame:
+    return ranking.rank_items(items, SETTINGS.daily_target, MINIMUM_FINAL)
 
 
 @query
 def final_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranked_items(spark, sf_dir).select(
+    return ranked_items(roles.items(spark, sf_dir)).select(
         "id", "kind", F.col("rank").cast("bigint").alias("rank"), F.round("final_score", 6).alias("final_score")
     )
 
 
 @query
 def digest_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = ranking.digest_entries(ranked_items(spark, sf_dir), NOW)
+    entries = ranking.digest_entries(ranked_items(roles.items(spark, sf_dir)), NOW)
     return entries.select(day(F.col("digest_date")).alias("digest_date"), "kind", "item_id", F.col("rank").cast("bigint").alias("rank"), "reason")

@@ -9,8 +9,9 @@ from digestry.config import GROUPS
 from digestry.operators import ranking, related, reports, search
 from digestry.plans import roles
 from digestry.plans.catalog import query
-from digestry.plans.q_state import entries
+from digestry.plans.q_state import entries_of
 from digestry.plans.roles import NOW, TAXONOMY, day
+from digestry.session import stage
 
 ARCHIVE_QUERY = "  THE ｏｆ\tpaper"
 ARCHIVE_FACETS = {"kind": ["paper", "blog"], "targets": ["content", "room"], "tasks": []}
@@ -21,8 +22,8 @@ YEARS = tuple(str(year) for year in range(2018, 2025))
 
 @query
 def digest_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = roles.items(spark, sf_dir).select("id", "kind", "title", "url")
-    return ranking.resolve_digest(entries(spark, sf_dir), items).select(
+    items = stage(roles.items(spark, sf_dir), "items")
+    return ranking.resolve_digest(entries_of(items), items.select("id", "kind", "title", "url")).select(
         day(F.col("digest_date")).alias("digest_date"), "kind", "item_id", F.col("rank").cast("bigint").alias("rank"), "title", "url"
     )
 
@@ -78,7 +79,7 @@ def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def related_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = related.related_items(roles.items(spark, sf_dir))
+    found = related.related_items(stage(roles.items(spark, sf_dir), "items"))
     return found.select("id", F.col("rank").cast("bigint").alias("rank"), "related_id", F.col("shared").cast("bigint").alias("shared"))
 
 

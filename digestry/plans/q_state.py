@@ -12,13 +12,18 @@ from digestry.operators.prefilter import top_candidates
 from digestry.operators.select_best import duplicates
 from digestry.plans import roles
 from digestry.plans.catalog import query
-from digestry.plans.q_metadata import resolve_top, shortlisted
-from digestry.plans.q_readings import ranked_items
+from digestry.plans.q_metadata import resolve_of, resolve_top, shortlisted, validated
+from digestry.plans.q_readings import ranked_items, reconciled
 from digestry.plans.roles import NOW, SETTINGS, TAXONOMY, day, stamp
+from digestry.session import stage
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roles.archive_entries(spark, sf_dir).select("digest_date", "kind", F.col("id").alias("item_id"), "rank")
+    return entries_of(roles.items(spark, sf_dir))
+
+
+def entries_of(items: DataFrame) -> DataFrame:
+    return roles.archive_of(items).select("digest_date", "kind", F.col("id").alias("item_id"), "rank")
 
 
 @query
@@ -61,13 +66,14 @@ def item_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def funnel_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = roles.candidates(spark, sf_dir).drop("excerpt", "categories")
     fresh = rows.where(collect.in_window(F.col("published_at"), F.col("kind"), NOW, None))
-    resolved, _ = resolve_top(spark, sf_dir)
+    eligible = stage(roles.eligible_candidates(spark, sf_dir), "eligible")  # the texts are read once for all stages
+    top = stage(top_candidates(eligible, SETTINGS), "prefiltered")
     stages = {
         "collected": collect.dedupe_collected(fresh),
-        "eligible": roles.eligible_candidates(spark, sf_dir),
-        "prefiltered": top_candidates(roles.eligible_candidates(spark, sf_dir), SETTINGS),
-        "shortlisted": shortlisted(resolved),
-        "recommended": ranked_items(spark, sf_dir),
+        "eligible": eligible,
+        "prefiltered": top,
+        "shortlisted": shortlisted(resolve_of(top)[0]),
+        "recommended": ranked_items(roles.items_of(roles.scored_of(spark, sf_dir, eligible))),
     }
     return reports.funnel(stages)
 
@@ -82,14 +88,12 @@ def metadata_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def success_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings per kind and metadata batches against the minimum, and the rate of the run."""
-    from digestry.plans.q_metadata import batch_validation
-    from digestry.plans.q_readings import reading_reconcile
-
-    readings = reading_reconcile(spark, sf_dir).select(F.col("kind").alias("name"), "succeeded", "attempted")
-    batches = batch_validation(spark, sf_dir).agg(
+    eligible = stage(roles.eligible_candidates(spark, sf_dir), "eligible")
+    readings = reconciled(eligible).select(F.col("kind").alias("name"), "succeeded", "attempted")
+    batches = validated(eligible).agg(
         F.lit("metadata").alias("name"), F.count_if("ok").alias("succeeded"), F.count("*").alias("attempted")
     )
-    gated = reports.success_gate(readings.unionByName(batches), SETTINGS.minimum_success_rate)
+    gated = stage(reports.success_gate(readings.unionByName(batches), SETTINGS.minimum_success_rate), "rates")
     none = F.lit(None).cast("bigint")
     run = reports.run_rate(gated).select(
         F.lit("run").alias("name"), none.alias("succeeded"), none.alias("attempted"), "rate", "passed"
@@ -107,7 +111,7 @@ def source_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = ranking.latest(entries(spark, sf_dir))
+    newest = ranking.latest(stage(entries(spark, sf_dir), "entries"))
     return newest.select(day(F.col("digest_date")).alias("digest_date"), "kind", "item_id", F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -121,7 +125,7 @@ def latest_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(roles.pick(quality.BASES["blog"], F.col("row_key") % 3))
         .alias("basis"),
     )
-    return ranking.latest(rows).agg(
+    return ranking.latest(stage(rows, "entries")).agg(
         F.array_join(F.array_sort(F.collect_set("model")), " ").alias("models"),
         F.array_join(F.array_sort(F.collect_set("basis")), " ").alias("bases"),
     )
@@ -141,8 +145,8 @@ def business_date_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks in front of a publish; the test rows break some of them."""
-    items = roles.items(spark, sf_dir)
-    digest = entries(spark, sf_dir)
+    items = stage(roles.items(spark, sf_dir), "items")
+    digest = entries_of(items)
     blogs = roles.blog_candidates(spark, sf_dir)
     checks = {
         "duplicate_items": duplicates(items, ["id"]),

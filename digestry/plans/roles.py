@@ -28,6 +28,7 @@ from digestry.operators.scoring import (
 )
 from digestry.operators.select_best import best_per_key
 from digestry.sources.pages import article_text, page_title
+from digestry.sources.tables import read_table
 from digestry.functions.urls import normalize_url, url_host
 
 NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -67,8 +68,12 @@ SOURCES = tuple(Source(f"src{n}", "paper", WEIGHTS[n % 5], required=n == 0) for
 plan = lru_cache(maxsize=64)
 
 
+# Tables with long texts, and the key that spreads them over the cores while they are small.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", TEXT_KEYS.get(name))
 
 
 def pick(values, index: Column) -> Column:
@@ -170,12 +175,16 @@ def reading_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eligible candidates with the parts of the final score."""
+    return scored_of(spark, sf_dir, eligible_candidates(spark, sf_dir))
+
+
+def scored_of(spark: SparkSession, sf_dir: str, chosen: DataFrame) -> DataFrame:
+    """Candidates with the parts of the final score."""
     quality = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("row_key")).agg(
         (F.max("quality") * F.lit(0.8) + F.lit(0.1)).alias("explicit")
     )
     facts = quality.join(reading_counts(spark, sf_dir), "row_key", "full_outer").withColumn("kind", F.lit("paper"))
-    rows = eligible_candidates(spark, sf_dir).join(facts, ["row_key", "kind"], "left")
+    rows = chosen.join(facts, ["row_key", "kind"], "left")
     none = F.lit(None).cast("double")
     parts = F.coalesce("n_parts", F.lit(0)) + 1
     relevance = clamp(F.col("metadata_score"))
@@ -197,7 +206,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 @plan
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published items: every eligible candidate, labelled by rule."""
-    return scored(spark, sf_dir).select(
+    return items_of(scored(spark, sf_dir))
+
+
+def items_of(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "row_key", "id", "kind", "title",
         F.concat(F.lit("about "), "title").alias("summary"),
         F.col("source_id").alias("source"),
@@ -211,9 +224,13 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan
 def archive_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_of(items(spark, sf_dir))
+
+
+def archive_of(published: DataFrame) -> DataFrame:
     """Items that made the digest of their day: the best of each kind."""
     return best_per_key(
-        items(spark, sf_dir), ["digest_date", "kind"], final_order(), SETTINGS.daily_target, "rank"
+        published, ["digest_date", "kind"], final_order(), SETTINGS.daily_target, "rank"
     )
 
 
