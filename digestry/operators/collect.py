@@ -49,8 +49,11 @@ def in_window(published_at: Column, kind: Column, now: datetime, last_success_at
 
 
 def attach_sources(candidates: DataFrame, sources: DataFrame, default_weight: float) -> DataFrame:
-    """Weight and scenarios of the configured source; the source list is bounded by configuration."""
-    dims = F.broadcast(sources.where("enabled").select("source_id", "kind", "weight", "scenarios"))
+    """Weight and scenarios of the configured source.
+
+    The planner knows the size of the list and broadcasts it while it is small.
+    """
+    dims = sources.where("enabled").select("source_id", "kind", "weight", "scenarios")
     return candidates.join(dims, ["source_id", "kind"], "left").select(
         *candidates.columns,
         F.coalesce("weight", F.lit(default_weight)).alias("source_weight"),

@@ -111,15 +111,14 @@ def taxonomy_edges(visible: DataFrame) -> DataFrame:
 def relation_edges(visible: DataFrame, relations: DataFrame, taxonomy_frame: DataFrame) -> DataFrame:
     """Confident relations of visible items, resolved to a visible item or else to a label, first of each kept.
 
-    The visible ids are capped, so they may be broadcast against the relations.
+    The visible ids are few and staged with their size, so the planner broadcasts
+    them against the relations; with an unusually large cap it would not.
     """
-    ids = F.broadcast(visible.select("id"))
+    ids = visible.select("id")
     own = relations.where(F.col("confidence") >= MINIMUM_CONFIDENCE).join(ids, "id", "left_semi")
-    targets = F.broadcast(visible.select(F.col("id").alias("target_id"), F.col("id").alias("item_target")))
-    labels = F.broadcast(
-        taxonomy_frame.select(
-            F.col("id").alias("target_id"), F.concat(_singular(F.col("grp")), F.lit(":"), "id").alias("label_target")
-        )
+    targets = visible.select(F.col("id").alias("target_id"), F.col("id").alias("item_target"))
+    labels = taxonomy_frame.select(
+        F.col("id").alias("target_id"), F.concat(_singular(F.col("grp")), F.lit(":"), "id").alias("label_target")
     )
     resolved = (
         own.join(targets, "target_id", "left")

@@ -83,7 +83,7 @@ def check(name: str, sql: str) -> None:
                 visit(SHARED[key])
 
     visit(sql)
-    ctes = ", ".join(f"{key} AS ({SHARED[key]})" for key in SHARED if key in needed)
+    ctes = ", ".join(f"{key} AS MATERIALIZED ({SHARED[key]})" for key in SHARED if key in needed)
     body = sql.strip()
     if ctes and body.startswith("WITH "):
         CHECKS[name] = f"WITH {ctes}, {body[5:]}"

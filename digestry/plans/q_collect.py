@@ -246,7 +246,7 @@ def feed_rss_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         roles.blog_candidates(spark, sf_dir), entry,
         "<?xml version='1.0'?><rss version='2.0'><channel>", "</channel></rss>", 10,
     )
-    rows, _ = feeds.scan_rss(raw, SETTINGS.max_excerpt_chars)
+    rows, _ = feeds.scan_blog_feed(raw, SETTINGS.max_excerpt_chars)
     return rows.select(
         "id", "title", "url", stamp(F.col("published_at")).alias("published"), F.md5("excerpt").alias("excerpt_hash"),
         F.array_join("authors", ";").alias("authors"), F.md5("feed_content").alias("content_hash"),

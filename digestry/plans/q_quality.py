@@ -111,7 +111,7 @@ def dim_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Constraints of the small tables, against the sources that the data really uses."""
     sources = source_frame(spark, roles.SOURCES[:-2])
     used = roles.table(spark, sf_dir, "documents").select(F.col("source").alias("source_id")).distinct()
-    unknown = used.join(F.broadcast(sources), "source_id", "left_anti")
+    unknown = used.join(sources, "source_id", "left_anti")
     weights = spark.createDataFrame(
         [("metadata_weights", SETTINGS.metadata_weights.total()), ("final_weights", SETTINGS.final_weights.total())],
         "name string, total double",

@@ -20,11 +20,17 @@ ATOM = """
         category:array<struct<_term:string>>, primary_category:struct<_term:string>>>,
     _corrupt_record string
 """
-RSS = """
-    channel struct<item:array<struct<
+_ITEM = """array<struct<
         title:string, guid:string, link:string, pubDate:string, published:string, updated:string, date:string,
         description:string, summary:string, author:array<string>, creator:array<string>, doi:string,
-        encoded:string>>>,
+        encoded:string>>"""
+# RSS 2.0 keeps its items in a channel, RSS 1.0 beside it, and Atom calls them entries.
+BLOG = f"""
+    channel struct<item:{_ITEM}>,
+    item {_ITEM},
+    entry array<struct<
+        title:string, id:string, published:string, updated:string, created:string, date:string, summary:string,
+        author:array<struct<name:string>>, link:array<struct<_href:string,_rel:string>>, doi:string, content:string>>,
     _corrupt_record string
 """
 TIME_FORMATS = (
@@ -69,9 +75,7 @@ def scan_atom(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
     entries is an error only if it is malformed.
     """
     rows, errors = _entries(feeds, F.col("doc.entry"), ATOM)
-    links = F.coalesce(F.col("e.link"), F.array())
-    rel = F.filter(links, lambda l: l["_rel"].isin("alternate", "canonical") & (l["_href"] != ""))
-    url = normalize_url(F.coalesce(F.get(rel, F.lit(0))["_href"], F.get(links, F.lit(0))["_href"]))
+    url = normalize_url(_link(F.col("e.link")))
     terms = F.concat(
         F.coalesce(F.transform("e.category", lambda c: c["_term"]), F.array()),
         F.array_compact(F.array(F.col("e.primary_category._term"))),
@@ -94,13 +98,49 @@ def scan_atom(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _complete(out), errors
 
 
-def scan_rss(feeds: DataFrame, excerpt_limit: int = 4000) -> tuple[DataFrame, DataFrame]:
-    """Blog candidates and source errors from RSS payloads, with full content where the feed carries it."""
-    rows, errors = _entries(feeds, F.col("doc.channel.item"), RSS)
-    written = _names(F.concat(F.coalesce("e.creator", F.array()), F.coalesce("e.author", F.array())))
+def _link(links: Column) -> Column:
+    """The alternate or canonical link, else the first one."""
+    links = F.coalesce(links, F.array())
+    fitting = F.filter(links, lambda l: l["_rel"].isin("alternate", "canonical") & (l["_href"] != ""))
+    return F.coalesce(F.get(fitting, F.lit(0))["_href"], F.get(links, F.lit(0))["_href"])
+
+
+def _common(guid, title, link, dates, texts, authors, content, doi) -> Column:
+    return F.struct(
+        guid.alias("guid"), title.alias("title"), link.alias("link"), F.array(*dates).alias("dates"),
+        F.array(*texts).alias("texts"), authors.alias("authors"), content.alias("content"), doi.alias("doi"),
+    )
+
+
+def _from_item(e: Column) -> Column:
+    authors = F.concat(F.coalesce(e["creator"], F.array()), F.coalesce(e["author"], F.array()))
+    dates = [e["pubDate"], e["published"], e["updated"], e["date"]]
+    return _common(
+        e["guid"], e["title"], e["link"], dates, [e["summary"], e["description"]], authors, e["encoded"], e["doi"]
+    )
+
+
+def _from_entry(e: Column) -> Column:
+    names = F.transform(F.coalesce(e["author"], F.array()), lambda a: a["name"])
+    dates = [e["published"], e["updated"], e["created"], e["date"]]
+    none = F.lit(None).cast("string")
+    return _common(
+        e["id"], e["title"], _link(e["link"]), dates, [e["summary"], none], names, e["content"], e["doi"]
+    )
+
+
+def scan_blog_feed(feeds: DataFrame, excerpt_limit: int = 4000) -> tuple[DataFrame, DataFrame]:
+    """Blog candidates and source errors from RSS or Atom payloads, with full content where the feed carries it."""
+    doc = F.col("doc")
+    entries = F.concat(
+        F.transform(F.coalesce(doc["channel"]["item"], F.array()), _from_item),
+        F.transform(F.coalesce(doc["item"], F.array()), _from_item),
+        F.transform(F.coalesce(doc["entry"], F.array()), _from_entry),
+    )
+    rows, errors = _entries(feeds, entries, BLOG)
     authors = F.array_distinct(
         F.transform(
-            written,
+            _names(F.col("e.authors")),
             lambda a: F.when(a.rlike(r"\([^()]+\)"), F.trim(F.regexp_extract(a, r"\(([^()]+)\)", 1))).otherwise(a),
         )
     )
@@ -109,10 +149,10 @@ def scan_rss(feeds: DataFrame, excerpt_limit: int = 4000) -> tuple[DataFrame, Da
         F.lit("blog").alias("kind"),
         bounded_text(F.col("e.title"), 1000).alias("title"),
         normalize_url(F.col("e.link")).alias("url"),
-        _time(F.col("e.pubDate"), F.col("e.published"), F.col("e.updated"), F.col("e.date")).alias("published_at"),
+        _time(*[F.col("e.dates")[i] for i in range(4)]).alias("published_at"),
         authors.alias("authors"),
-        _excerpt(F.col("e.summary"), F.col("e.description"), limit=excerpt_limit).alias("excerpt"),
-        blank_to_null(F.trim("e.encoded")).alias("feed_content"),
+        _excerpt(F.col("e.texts")[0], F.col("e.texts")[1], limit=excerpt_limit).alias("excerpt"),
+        blank_to_null(F.trim("e.content")).alias("feed_content"),
         blank_to_null(F.col("e.guid")).alias("source_entry_id"),
         F.lit(None).cast("string").alias("arxiv_id"),
         normalize_doi(F.col("e.doi")).alias("doi"),

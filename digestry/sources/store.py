@@ -52,7 +52,7 @@ def unknown_fields(lines: DataFrame, allowed: Sequence[str], column: str = "valu
     return lines.select(F.col(column), F.explode(keys).alias("field"))
 
 
-def write_items(items: DataFrame, path: str, max_item_bytes: int) -> None:
+def write_items(items: DataFrame, path: str, max_item_bytes: int, fmt: str = "json") -> None:
     """Items by kind, year and month; one document over the size limit stops the write."""
     if not size_violations(items, max_item_bytes).isEmpty():
         raise PublishRefused("item exceeds max_item_bytes")
@@ -65,7 +65,7 @@ def write_items(items: DataFrame, path: str, max_item_bytes: int) -> None:
     )
     # Rebalancing keeps the number of files near the number of months and splits a month that is too large.
     parts = ["folder", "year", "month"]
-    with_parts.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
+    with_parts.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).format(fmt).save(path)
 
 
 def write_digest(entries: DataFrame, path: str) -> bool:
@@ -76,6 +76,12 @@ def write_digest(entries: DataFrame, path: str) -> bool:
     return True
 
 
+def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """The graph document: nodes and edges as JSON lines side by side."""
+    nodes.write.mode("overwrite").json(f"{path}/nodes")
+    edges.write.mode("overwrite").json(f"{path}/edges")
+
+
 def publish(
     gate: DataFrame, tables: Mapping[str, DataFrame], state: DataFrame, root: str, version: str
 ) -> str:

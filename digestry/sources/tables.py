@@ -16,18 +16,21 @@ def read_table(spark: SparkSession, path: str, spread_by: str | None = None) ->
 
     A file with a single row group is read by a single task however many cores
     there are, and for small tables the text work of that one task dominates.
-    The size check makes this a no-op for everything that already has enough
-    splits: no shuffle of texts happens at scale.
+    The checks make this a no-op for every table with as many files as cores or
+    with large files: no shuffle of texts happens at scale.
     """
     table = spark.read.parquet(path)
+    if spread_by is None:
+        return table
     cores = spark.sparkContext.defaultParallelism
-    if spread_by is None or stored_bytes(spark, path) > cores * SMALL_SPLIT:
+    files = table.inputFiles()
+    if len(files) >= cores or stored_bytes(spark, tuple(files)) > cores * SMALL_SPLIT:
         return table
     return table.repartition(cores, spread_by)
 
 
 @lru_cache(maxsize=256)
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files below a path, from their listing; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.agg(F.sum("length").alias("n")).first()["n"] or 0
+def stored_bytes(spark: SparkSession, files: tuple[str, ...]) -> int:
+    """Size of a few files from their listing; contents are not read."""
+    listed = spark.read.format("binaryFile").load(list(files))
+    return listed.agg(F.sum("length").alias("n")).first()["n"] or 0

@@ -45,12 +45,30 @@ def test_atom_entries(spark):
 
 
 def test_rss_entries(spark):
-    rows, _ = feeds.scan_rss(raw(spark, ("blog", RSS)))
+    rows, _ = feeds.scan_blog_feed(raw(spark, ("blog", RSS)))
     row = rows.first()
     assert row["url"] == "https://e.example.com/posts/feed-ranking" and row["published_at"] == datetime(2026, 8, 9, 6, 30)
     assert row["excerpt"] == "Practical lessons." and row["authors"] == ["Example Engineer"] and row["feed_content"] == "<p>Body</p>"
 
 
+def test_blog_feeds_in_other_dialects(spark):
+    atom = (
+        "<feed xmlns='http://www.w3.org/2005/Atom'><entry><id>e1</id><title>Atom post</title><updated>2026-08-09T00:00:00Z</updated>"
+        "<link rel='alternate' href='https://b.org/p1'/><summary>s</summary><author><name>Bo</name></author><content type='html'>&lt;p&gt;full&lt;/p&gt;</content></entry></feed>"
+    )
+    rdf = (
+        "<rdf:RDF xmlns:rdf='http://www.w3.org/1999/02/22-rdf-syntax-ns#' xmlns='http://purl.org/rss/1.0/' xmlns:dc='http://purl.org/dc/elements/1.1/'>"
+        "<channel><title>c</title></channel><item><title>RDF post</title><link>https://b.org/p2</link><dc:date>2026-08-08</dc:date><dc:creator>Cy</dc:creator></item></rdf:RDF>"
+    )
+    rows, errors = feeds.scan_blog_feed(raw(spark, ("a", atom), ("r", rdf)))
+    got = {r["source_id"]: (r["title"], r["url"], str(r["published_at"]), r["authors"], r["feed_content"]) for r in rows.collect()}
+    assert got == {
+        "a": ("Atom post", "https://b.org/p1", "2026-08-09 00:00:00", ["Bo"], "<p>full</p>"),
+        "r": ("RDF post", "https://b.org/p2", "2026-08-08 00:00:00", ["Cy"], None),
+    }
+    assert errors.count() == 0
+
+
 def test_pages(spark):
     page = "<html><head><title>A &amp; B</title></head><body><nav>menu</nav><!-- x --><article class='m'><p>One</p><script>var a='<p>';</script>two</article><footer>f</footer></body></html>"
     bare = "<body><p>Only &lt;body&gt;</p><style>p{}</style></body>"
@@ -111,11 +129,41 @@ def test_item_sink_respects_the_size_limit(spark, tmp_path):
     with pytest.raises(store.PublishRefused):
         store.write_items(rows, str(tmp_path / "i"), 60)
     store.write_items(rows, str(tmp_path / "i"), 4096)
-    back = spark.read.parquet(str(tmp_path / "i"))
+    back = spark.read.json(str(tmp_path / "i"))
     assert {(r["id"], r["folder"], r["year"], r["month"]) for r in back.collect()} == {("a", "papers", 2026, 8), ("b", "blogs", 2026, 7)}
     assert store.write_digest(rows.where("false"), str(tmp_path / "d")) is False
 
 
+def test_window_bounds_reach_the_scan(spark, tmp_path, now):
+    from digestry.operators.collect import in_window
+
+    rows = spark.createDataFrame([("paper", datetime(2026, 8, 1)), ("blog", datetime(2019, 1, 1))], "kind string, published_at timestamp")
+    rows.write.parquet(str(tmp_path / "c"))
+    fresh = spark.read.parquet(str(tmp_path / "c")).where(in_window(F.col("published_at"), F.col("kind"), now, None))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(published_at,2021-08-15" in plan
+    assert [r["kind"] for r in fresh.collect()] == ["paper"]
+
+
+def test_small_tables_are_spread_and_large_ones_left_alone(spark, tmp_path, monkeypatch):
+    from digestry.sources import tables
+
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "t"))
+    assert tables.read_table(spark, str(tmp_path / "t"), "id").rdd.getNumPartitions() == 8
+    monkeypatch.setattr(tables, "SMALL_SPLIT", 0)
+    assert tables.read_table(spark, str(tmp_path / "t"), "id").rdd.getNumPartitions() == 1
+
+
+def test_graph_document(spark, tmp_path):
+    nodes = spark.createDataFrame([("a", ["x"])], "id string, tags array<string>")
+    edges = spark.createDataFrame([("e", "a", "b")], "id string, source string, target string")
+    store.write_graph(nodes, edges, str(tmp_path / "g"))
+    assert spark.read.json(str(tmp_path / "g" / "nodes")).first()["tags"] == ["x"]
+    assert spark.read.json(str(tmp_path / "g" / "edges")).count() == 1
+
+
 def test_upsert_replaces_by_id(spark):
     old = spark.createDataFrame([("a", 1), ("b", 1)], "id string, v int")
     new = spark.createDataFrame([("b", 2), ("c", 2)], "id string, v int")
