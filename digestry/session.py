@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+STAGING_CONF = "digestry.staging.dir"
 
 # Settings every job relies on. Partition counts and memory belong to the cluster and are not set here.
 JOB_CONF = {
@@ -50,32 +51,45 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
 def shared_dir(spark: SparkSession) -> str:
     """Folder for staged tables and stream checkpoints, as named by the cluster.
 
-    Only a local session may fall back to a temporary folder: on a cluster that
-    folder would exist on one machine only.
+    `spark.checkpoint.dir` decides. Where it is unset, STAGING_CONF may name a
+    folder; only a local session then falls back to a temporary one, because on
+    a cluster that folder would exist on one machine only.
     """
-    folder = spark.conf.get(CHECKPOINT_CONF, None)
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.conf.get(STAGING_CONF, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
     folder = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
+    spark.conf.set(STAGING_CONF, folder)
     return folder
 
 
+def application_dir(spark: SparkSession) -> str:
+    """Folder of everything this application has staged."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{application_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
-    Used where several branches of one plan read the same small result of a
-    large scan. A written table survives lost executors and carries its size,
-    so the planner can choose broadcast joins from real numbers.
+    Used where several branches of one plan read the same result of a large
+    scan. A written table survives lost executors and carries its size, so the
+    planner can choose broadcast joins from real numbers.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged; to be called when its results are written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(application_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

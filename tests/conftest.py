@@ -13,10 +13,11 @@ NOW = datetime(2026, 8, 15, tzinfo=timezone.utc)
 
 @pytest.fixture(scope="session")
 def spark():
-    from digestry.session import local_session
+    from digestry.session import drop_staged, local_session
 
     session = local_session(8, partitions=4)
     yield session
+    drop_staged(session)
     session.stop()
 
 
