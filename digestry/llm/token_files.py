@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,48 +43,98 @@ def decode_numbers(control: bytes, data: bytes, count: int) -> np.ndarray:
     return spread.view("<u4").ravel()[:count]
 
 
-def encoder(tokenizer_path: str, end_id: int):
-    """Batches of (doc_id, tie, text) to (doc_id, tie, n, ids as little-endian numbers)."""
+# What stands between ASCII white space; and, for texts within Latin-1, runs of letters and runs of anything else.
+PLAIN = re.compile(r"[^\x20\x09-\x0D]+")
+LETTER_RUNS = re.compile(r"[a-zªµºß-öø-ÿ]+|[^a-zªµºß-öø-ÿ\x20\x09-\x0D]+")
+# Words of letters that are encoded by one call.
+JOINED = 4000
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+class PieceEncoder:
+    """Ids of whole texts from the ids of their pieces, each piece encoded once.
+
+    The vocabulary's own splitting never joins what white space separates, nor a
+    letter with a sign; only an apostrophe before certain letters does the latter,
+    so texts with one are cut at white space alone, as are texts beyond Latin-1,
+    where normalising could join signs. Words of letters go to the tokenizer many
+    at a time: each ends with the one id of its word that marks a word's end.
+    """
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True
-        end = np.uint32(end_id).tobytes()
-        # No token of this vocabulary spans white space, so what stands between ASCII white space is encoded
-        # alone, and each such piece once.
-        known: dict[bytes, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.kind = id_kind(self.tokenizer)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+
+    def pieces(self, text: str) -> list[str]:
+        if "'" in text or (not text.isascii() and max(text) > "\xff"):
+            return PLAIN.findall(text)
+        return LETTER_RUNS.findall(text.lower())
+
+    def learn(self, pieces: list[str]) -> None:
+        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = list(dict.fromkeys(pieces))
+        words = [p for p in new if LETTER_RUNS.fullmatch(p) and p[0].isalpha()]
+        single = set(new).difference(words)
+        for at in range(0, len(words), JOINED):
+            own = words[at : at + JOINED]
+            ids = np.array(self.tokenizer.encode(" ".join(own), add_special_tokens=False).ids, self.kind)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(own):
+                self.known.update(zip(own, (x.tobytes() for x in np.split(ids, ends[:-1])), strict=True))
+            else:
+                single.update(own)
+        single_ones = sorted(single)
+        for piece, coded in zip(single_ones, self.tokenizer.encode_batch_fast(single_ones, add_special_tokens=False), strict=True):
+            self.known[piece] = np.array(coded.ids, self.kind).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        listed = [self.pieces(text) for text in texts]
+        self.learn([p for pieces in listed for p in pieces])
+        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in listed]
+
+
+def id_kind(tokenizer) -> str:
+    """Two bytes for each id where the vocabulary allows, else four; only inside the job, files have their own coding."""
+    return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def encoder(tokenizer_path: str, end_id: int):
+    """Batches of (doc_id, tie, text) to (doc_id, tie, ids as little-endian numbers)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
+        own = PieceEncoder(tokenizer_path)
+        end = np.array([end_id], own.kind).tobytes()
         for batch in batches:
-            ids = []
-            for text in batch.column("text").to_pylist():
-                pieces = text.encode().split()
-                if new := [p for p in dict.fromkeys(pieces) if p not in known]:
-                    if len(known) + len(new) > REMEMBERED:
-                        known.clear()
-                        new = list(dict.fromkeys(pieces))
-                    for piece, coded in zip(new, tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True):
-                        known[piece] = np.array(coded.ids, "<u4").tobytes()
-                ids.append(b"".join(map(known.__getitem__, pieces)) + end)
-            counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), counts, pa.array(ids, pa.binary())], ["doc_id", "tie", "n", "ids"])
+            ids = [x + end for x in own.encode(batch.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(ids, pa.binary())], ["doc_id", "tie", "ids"])
 
     return run
 
 
-def count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals = np.zeros(0, np.int64)
-    for batch in batches:
-        for ids in batch.column("ids").to_pylist():
-            found = np.bincount(np.frombuffer(ids, "<u4"))
+def id_counter(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(0, np.int64)
+        for batch in batches:
+            found = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind))
             if len(found) > len(totals):
                 totals = np.pad(totals, (0, len(found) - len(totals)))
             totals[: len(found)] += found
-    there = np.flatnonzero(totals)
-    yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(totals[there], pa.int64())], ["id", "n"])
+        there = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(totals[there], pa.int64())], ["id", "n"])
+
+    return run
 
 
-def packer(rank_of: np.ndarray, block_ids: int):
+def packer(rank_of: np.ndarray, kind: str, block_ids: int):
     """Sorted documents of one range to blocks; `first` counts the ids of the range before a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +152,7 @@ def packer(rank_of: np.ndarray, block_ids: int):
         for batch in batches:
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                 docs.append(doc_id)
-                held.append(np.frombuffer(ids, "<u4"))
+                held.append(np.frombuffer(ids, kind))
                 size += len(held[-1])
                 if size >= block_ids:
                     yield block()
@@ -126,17 +178,19 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     half file and nothing twice. Null texts are empty, null ids come first, equal
     ids are ordered by a hash of the text, and equal rows are all kept.
     """
-    spark = docs.sparkSession
+    from tokenizers import Tokenizer
+
+    spark, kind = docs.sparkSession, id_kind(Tokenizer.from_file(tokenizer_path))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), text_of().alias("text"))
-    coded = stage(rows.mapInArrow(encoder(tokenizer_path, end_id), "doc_id long, tie long, n long, ids binary"), "ids", compression="zstd")
-    counts = coded.select("ids").mapInArrow(count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    coded = stage(rows.mapInArrow(encoder(tokenizer_path, end_id), "doc_id long, tie long, ids binary"), "ids", compression="zstd")
+    counts = coded.select("ids").mapInArrow(id_counter(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     ranked = counts.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.int64)
     spark.createDataFrame([(rank, int(token)) for rank, token in enumerate(ranked)], "rank long, id long").write.parquet(f"{path}/ranks")
     rank_of = np.zeros(int(ranked.max(initial=0)) + 1, np.uint32)
     rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
     sorted_rows = coded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
-    sorted_rows.mapInArrow(packer(rank_of, block_ids), BLOCK_TYPE).write.option("compression", "none").parquet(f"{path}/blocks")
+    sorted_rows.mapInArrow(packer(rank_of, kind, block_ids), BLOCK_TYPE).write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
 def unpacker(id_of: np.ndarray, digest: bool):
