@@ -21,22 +21,27 @@ from digestry.session import stage
 PIECE = 2048
 # Ids that may be sent to every executor: 8 bytes each, so some tens of MB.
 SENT_IDS = 2_000_000
+# Members of a bucket that are compared with each other at once.
+BLOCK = 256
 
 
 @dataclass(frozen=True)
 class NearSettings:
     """`width` words make a shingle; sets are linked from `percent` of similarity on.
 
-    A link is missed by all bands with probability (1 - 0.8 ** rows) ** bands,
-    5e-6 here, and by the bounds with `miss` at each step.
+    Bands take the first rows * bands of the `hashes`; a link is missed by all of
+    them with probability (1 - 0.8 ** rows) ** bands, 5e-6 here. Signatures are
+    compared in steps of `step` hashes, and at each step a pair is dropped if its
+    chance to be a link is below `miss`.
     """
 
     width: int = 4
     percent: int = 80
     rows: int = 6
     bands: int = 40
+    hashes: int = 384
     step: int = 48
-    miss: float = 1e-7
+    miss: float = 1e-4
     rounds: int = 3
 
 
@@ -82,7 +87,7 @@ def summarizer(settings: NearSettings):
     """Texts to set size, a 128-bit key of the set, one byte of each minimum, and one hash for each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        odd = hash_functions(settings.rows * settings.bands)
+        odd = hash_functions(settings.hashes)
         for batch in batches:
             sets = shingle_sets(batch.column("text").to_pylist(), settings.width)
             keys, signs, bands = [], [], []
@@ -95,7 +100,7 @@ def summarizer(settings: NearSettings):
                 least = mixed(signature(own, odd))
                 signs.append((least >> np.uint64(56)).astype(np.uint8).tobytes())
                 code = np.arange(settings.bands, dtype=np.uint64)
-                for row in least.reshape(settings.rows, settings.bands):
+                for row in least[: settings.rows * settings.bands].reshape(settings.rows, settings.bands):
                     code = mixed(code + row)
                 bands.append(code.view(np.int64))
             sizes = pa.array([len(x) for x in sets], pa.int64())
@@ -128,7 +133,7 @@ def least_matches(settings: NearSettings) -> list[tuple[int, int]]:
     similar = settings.percent / 100
     t = similar + (1 - similar) / 256
     table = []
-    for n in range(settings.step, settings.rows * settings.bands + 1, settings.step):
+    for n in range(settings.step, settings.hashes + 1, settings.step):
         chance, needed = 0.0, 0
         for m in range(n + 1):
             chance += comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
@@ -139,24 +144,64 @@ def least_matches(settings: NearSettings) -> list[tuple[int, int]]:
     return table
 
 
+def passing(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray, table: list[tuple[int, int]]) -> np.ndarray:
+    """Which of the pairs (left[a], right[b]) of signatures pass every step; later steps see only what passed."""
+    alive, matches, done = np.arange(len(a)), np.zeros(len(a), np.int64), 0
+    for n, needed in table:
+        matches = matches + (left[a[alive], done:n] == right[b[alive], done:n]).sum(axis=1)
+        passed = matches >= needed
+        alive, matches, done = alive[passed], matches[passed], n
+    return alive
+
+
+def signatures(column, length: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, length)
+
+
 def pruner(settings: NearSettings):
-    """Keep the pairs that pass every step; later steps see only pairs that passed the earlier ones."""
+    """Keep the pairs whose signatures pass."""
     table = least_matches(settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        length = settings.rows * settings.bands
+        length = settings.hashes
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, length) for c in ("sign_a", "sign_b"))
-            alive, matches, done = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64), 0
-            for n, needed in table:
-                matches = matches + (left[alive, done:n] == right[alive, done:n]).sum(axis=1)
-                passed = matches >= needed
-                alive, matches, done = alive[passed], matches[passed], n
+            own = np.arange(batch.num_rows)
+            alive = passing(signatures(batch.column("sign_a"), length), signatures(batch.column("sign_b"), length), own, own, table)
             yield batch.take(pa.array(alive)).select(["a", "b"])
 
     return run
 
 
+def block_pruner(settings: NearSettings):
+    """Two blocks of members of a bucket to the pairs across components whose signatures pass."""
+    table = least_matches(settings)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        length = settings.hashes
+        for batch in batches:
+            for row in range(batch.num_rows):
+                sides = [batch.column(side)[row].values for side in ("left", "right")]
+                band, same = (batch.column(c)[row].as_py() for c in ("band", "same"))
+                (node, root, n), (node_b, root_b, n_b) = ([side.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n")] for side in sides)
+                left, right = (signatures(side.field("sign"), length) for side in sides)
+                for at in range(len(node)):
+                    near = np.minimum(n[at], n_b) * 100 >= np.maximum(n[at], n_b) * settings.percent
+                    once = (node[at] < node_b) | (not same)
+                    others = np.flatnonzero(near & once & (root[at] != root_b))
+                    alive = passing(left, right, np.full(len(others), at), others, table)
+                    # A pair that shares several buckets is reported from the first.
+                    shared = (left[at] == right[others[alive]])[:, : settings.rows * settings.bands].reshape(-1, settings.rows, settings.bands).all(axis=1)
+                    alive = alive[shared.argmax(axis=1) == band]
+                    if len(alive):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(alive), node[at])), pa.array(node_b[others[alive]])], ["a", "b"])
+
+    return run
+
+
+def one_way(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 class NearSets:
     """Distinct shingle sets of `docs`, and links between them.
 
@@ -175,7 +220,7 @@ class NearSets:
         own = self.rows.where("n > 0")
         grouped = own.groupBy("key").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sign").alias("sign"), F.first("bands").alias("bands"))
         self.nodes = stage(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
-        exploded = self.nodes.select("node", "n", "copies", F.explode("bands").alias("bucket"))
+        exploded = self.nodes.select("node", "n", "copies", F.posexplode("bands").alias("band", "bucket"))
         # A bucket of one node has no pair.
         shared = exploded.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
         self.buckets = stage(exploded.join(shared, "bucket"), "buckets")
@@ -184,12 +229,30 @@ class NearSets:
         """Sets that differ more in size than the similarity allows cannot be linked."""
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.settings.percent
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """Of (a, b) pairs of nodes, those whose sets are similar enough."""
-        pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    def pruned(self, pairs: DataFrame) -> DataFrame:
+        """Of (a, b) pairs of nodes, those whose signatures pass."""
+        pairs = stage(one_way(pairs), "pairs")
         signs = self.nodes.select("node", "sign")
         signed = pairs.join(signs.select(F.col("node").alias("a"), F.col("sign").alias("sign_a")), "a").join(signs.select(F.col("node").alias("b"), F.col("sign").alias("sign_b")), "b")
-        alive = stage(signed.mapInArrow(pruner(self.settings), "a long, b long"), "alive")
+        return signed.mapInArrow(pruner(self.settings), "a long, b long")
+
+    def pruned_blocks(self, members: DataFrame) -> DataFrame:
+        """Of all members of a bucket that are in different components, the pairs whose signatures pass.
+
+        Members are packed into blocks of about BLOCK and blocks meet blocks, so a
+        pair becomes a row only if it passes, a task holds two blocks at a time,
+        and the blocks of a large bucket are spread over all tasks.
+        """
+        counts = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        placed = members.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).join(self.nodes.select("node", "sign"), "node")
+        packed = stage(placed.groupBy("bucket", "band", "block").agg(F.collect_list(F.struct("node", "root", "n", "sign")).alias("left")), "blocks")
+        other = packed.select("bucket", F.col("block").alias("_block"), F.col("left").alias("right"))
+        met = packed.join(other, "bucket").where("block <= _block").select("band", F.expr("block = _block").alias("same"), "left", "right")
+        return met.mapInArrow(block_pruner(self.settings), "a long, b long")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Of (a, b) pairs of nodes, those whose whole sets are similar enough."""
+        alive = stage(one_way(pairs), "alive")
         wanted = alive.select(F.col("a").alias("node")).unionByName(alive.select(F.col("b").alias("node"))).distinct()
         wanted = stage(wanted.join(self.nodes.select("node", "key", "doc"), "node"), "wanted")
         # Texts stay where they are as long as the ids are few; otherwise the planner chooses.
@@ -227,13 +290,10 @@ class NearSets:
         pair that the bands propose is left open.
         """
         members = self.buckets.withColumn("root", F.col("node"))
-        found = self.verify(self.against_leader(members, -F.col("copies")))
+        found = self.confirmed(self.pruned(self.against_leader(members, -F.col("copies"))))
         for turn in range(1, self.settings.rounds):
-            found = found.unionByName(self.verify(self.against_leader(self.rooted(found), F.xxhash64("node", "bucket", F.lit(turn)))))
-        rest = self.rooted(found)
-        other = rest.select("bucket", F.col("node").alias("b"), F.col("n").alias("_n"), F.col("root").alias("_root"))
-        pairs = rest.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("root") != F.col("_root")) & self.near_size("n", "_n"))
-        return found.unionByName(self.verify(pairs.select(F.col("node").alias("a"), "b")))
+            found = found.unionByName(self.confirmed(self.pruned(self.against_leader(self.rooted(found), F.xxhash64("node", "bucket", F.lit(turn))))))
+        return found.unionByName(self.confirmed(self.pruned_blocks(self.rooted(found))))
 
     def classes(self) -> DataFrame:
         """doc_id, n_shingles, component_id and kept for every input row."""
