@@ -1,8 +1,8 @@
 """Run configuration: taxonomy, sources, weights and limits.
 
-The taxonomy and the source list are small by contract (`MAX_TERMS`,
-`MAX_SOURCES`), which is what allows them to be literals or broadcast tables.
-Larger vocabularies go through `operators.terms.match_terms_joined`.
+The taxonomy is configuration written by people and is compiled into the plan
+whatever its size; the source list is small by contract (`MAX_SOURCES`). A
+vocabulary that is itself data goes through `operators.terms.match_terms_joined`.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 GROUPS = ("targets", "scenarios", "tasks", "methods")
-MAX_TERMS = 256
 MAX_SOURCES = 10_000
 
 

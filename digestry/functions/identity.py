@@ -14,26 +14,27 @@ def _present(text: Column) -> Column:
     return F.when(text != "", text)
 
 
+# How DOIs and arXiv identifiers are written in public, and the characters that ids may have.
+DOI = r"(?s)^[<>]*(?:https?://(?:dx\.)?doi\.org/|doi:\s*)?(10\..*?)[.,;)<>]*$"
+ARXIV = r"(?is)^(?:arxiv:\s*)?(.*?)(?:v[0-9]+)?(?:\.(?:pdf|html))?$"
+ARXIV_ADDRESS = r"(?i)arxiv\.org/(?:abs|pdf)/([^?#]+)"
+ID_BREAKS = r"[^a-z0-9._]+"
+
+
 def normalize_doi(doi: Column) -> Column:
-    bare = F.lower(F.regexp_replace(strip(unescape(F.coalesce(doi, F.lit("")))), r"^[<>]+|[<>]+$", ""))
-    bare = F.regexp_replace(bare, r"^https?://(?:dx\.)?doi\.org/|^doi:\s*", "")
-    bare = F.regexp_replace(bare, r"[.,;)]+$", "")
-    return let(bare, lambda d: F.when(d.startswith("10.") & F.contains(d, F.lit("/")), d))
+    """The DOI in lower case without resolver address, brackets or closing punctuation, null if it is none."""
+    written = F.lower(strip(unescape(F.coalesce(doi, F.lit("")))))
+    return let(F.regexp_extract(written, DOI, 1), lambda d: F.when(F.contains(d, F.lit("/")), d))
 
 
 def normalize_arxiv_id(arxiv_id: Column, entry_id: Column) -> Column:
     """Version-free identifier from the field, else from the entry address."""
-    from_entry = F.regexp_extract(F.coalesce(entry_id, F.lit("")), r"(?i)arxiv\.org/(?:abs|pdf)/([^?#]+)", 1)
-    value = F.coalesce(_present(arxiv_id), from_entry)
-    value = strip(F.regexp_replace(value, r"(?i)^arxiv:\s*", ""))
-    value = F.regexp_replace(value, r"(?i)\.(?:pdf|html)$", "")
-    value = F.regexp_replace(value, r"(?i)v[0-9]+$", "")
-    return _present(F.replace(value, F.lit("/"), F.lit("-")))
+    given = F.coalesce(_present(arxiv_id), F.regexp_extract(F.coalesce(entry_id, F.lit("")), ARXIV_ADDRESS, 1))
+    return _present(F.translate(F.regexp_extract(strip(given), ARXIV, 1), "/", "-"))
 
 
 def slug(text: Column) -> Column:
-    dashed = F.regexp_replace(fold(text), r"[^a-z0-9._-]+", "-")
-    return F.regexp_replace(F.regexp_replace(dashed, "-+", "-"), "^-+|-+$", "")
+    return F.btrim(F.regexp_replace(fold(text), ID_BREAKS, "-"), F.lit("-"))
 
 
 def _short_hash(text: Column) -> Column:

@@ -109,7 +109,7 @@ def resolve(
     )
     rows = requested.join(flags, list(batch_keys), "left").join(model, [*batch_keys, "id"], "left")
     sound = F.coalesce("sound", F.lit(False))
-    labels = {g: F.when(sound, ground(F.col(g), F.col("proposed"))).otherwise(F.col(g)) for g in GROUPS}
+    labels = {g: F.when(sound, ground(F.col("proposed"), F.col(g))).otherwise(F.col(g)) for g in GROUPS}
     lost = F.when(sound, rejected(F.col("proposed"), supported_labels())).otherwise(F.lit(0))
     return rows.select(
         *[c for c in requested.columns if c not in GROUPS],

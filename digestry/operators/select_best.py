@@ -7,25 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many rows per key Spark prunes each input partition before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold). Beyond it we prune in a salted round ourselves.
-PRUNED_BY_SPARK = 1000
-
 
 def best_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank", salts: int = 64
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank"
 ) -> DataFrame:
     """The first `k` rows of every key in a total order, with their rank from 1.
 
     A key that holds a large share of the table never reaches one task whole:
-    only `k` rows per key leave each input partition.
+    only `k` rows per key leave each input partition, which Spark sees to for every
+    `k` under the setting spark.sql.optimizer.windowGroupLimitThreshold of the job.
     """
     if k < 0:
         raise ValueError("limit must be non-negative")
-    if k > PRUNED_BY_SPARK:
-        salted = df.withColumn("_salt", F.spark_partition_id() % salts)
-        inner = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = salted.withColumn("_r", F.row_number().over(inner)).where(F.col("_r") <= k).drop("_r", "_salt")
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 

@@ -553,18 +553,18 @@ def any_label(column: str, labels) -> str:
 check("archive_filter", f"""
 SELECT id, kind, strftime(digest_date, '%Y-%m-%d') AS digest_date, rank FROM r_archive
 WHERE contains(search_text, 'the') AND contains(search_text, 'of') AND contains(search_text, 'paper')
-  AND {any_label('targets', ('content', 'room'))}""")
+  AND {any_label('targets', ('harbour', 'hall'))}""")
 check("archive_counts", f"""
 SELECT strftime(digest_date, '%Y-%m-%d') AS digest_date, kind, count(*) AS n FROM r_entries
-WHERE {any_label('targets', ('content', 'room'))} GROUP BY ROLLUP (digest_date, kind)""")
+WHERE {any_label('targets', ('harbour', 'hall'))} GROUP BY ROLLUP (digest_date, kind)""")
 AGE = f"greatest(0, epoch_us({NOW}) - epoch_us(published_at)) / 86400000000.0::DOUBLE"
 check("facet_search", f"""
 SELECT id, kind, title FROM r_items WHERE kind = 'paper' AND strftime(published_at, '%Y') IN ('2022', '2023') AND {AGE} <= 365
-  AND {any_label('methods', ('graph', 'rl'))} AND {any_label('targets', ('content',))}""")
+  AND {any_label('methods', ('webs', 'trials'))} AND {any_label('targets', ('harbour',))}""")
 check("search_page", f"""
 SELECT id, round(final_score, 6) AS final_score FROM (SELECT id, final_score, published_at, source, {norm("title || ' ' || summary")} AS t FROM r_items)
 WHERE contains(t, 'the') AND contains(t, 'of') ORDER BY final_score DESC, published_at DESC, source, id LIMIT 10 OFFSET 10""")
-shared("r_shown", f"SELECT * FROM r_items WHERE {any_label('methods', ('graph',))}")
+shared("r_shown", f"SELECT * FROM r_items WHERE {any_label('methods', ('webs',))}")
 shared("r_facets", f"""
 SELECT 'kind' AS grp, kind AS value FROM r_shown UNION ALL SELECT 'year', strftime(published_at, '%Y') FROM r_shown
 UNION ALL SELECT 'age', a.v FROM r_shown JOIN (VALUES ('7d', 7), ('30d', 30), ('365d', 365)) a(v, d) ON {AGE} <= a.d
@@ -622,8 +622,8 @@ check("graph_edges", "SELECT id, source, target, type, round(confidence, 6) AS c
 check("graph_adjacency", """
 SELECT n.id, coalesce(string_agg(r.b, ' ' ORDER BY r.b), '') AS neighbors FROM r_node n LEFT JOIN r_near r ON r.a = n.id GROUP BY n.id""")
 shared("r_fc", f"""
-SELECT id FROM r_node WHERE type IN ('paper', 'article') AND {any_label('tags', ('content', 'user'))}
-  AND {any_label('tags', ('ranking', 'retrieval'))} AND {AGE} <= 365""")
+SELECT id FROM r_node WHERE type IN ('paper', 'article') AND {any_label('tags', ('harbour', 'reader'))}
+  AND {any_label('tags', ('choosing', 'gathering'))} AND {AGE} <= 365""")
 shared("r_fv", """
 SELECT id FROM r_fc UNION SELECT r.b FROM r_near r JOIN r_fc f ON r.a = f.id JOIN r_node n ON n.id = r.b WHERE n.type NOT IN ('paper', 'article')""")
 check("graph_filter", """

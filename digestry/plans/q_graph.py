@@ -12,7 +12,7 @@ from digestry.plans.catalog import query
 from digestry.plans.roles import NOW, SETTINGS, TAXONOMY, joined, stamp
 from digestry.session import stage
 
-FILTER_GROUPS = {"targets": ["content", "user"], "tasks": ["ranking", "retrieval"]}
+FILTER_GROUPS = {"targets": ["harbour", "reader"], "tasks": ["choosing", "gathering"]}
 TYPES = ("paper", "target", "method")
 SEARCH = "the"
 

@@ -14,9 +14,9 @@ from digestry.plans.roles import NOW, TAXONOMY, day
 from digestry.session import stage
 
 ARCHIVE_QUERY = "  THE ｏｆ\tpaper"
-ARCHIVE_FACETS = {"kind": ["paper", "blog"], "targets": ["content", "room"], "tasks": []}
-FACETS = {"kind": ["paper"], "year": ["2022", "2023"], "age": ["365d"], "methods": ["graph", "rl"], "targets": ["content"]}
-COUNT_FACETS = {"methods": ["graph"], "kind": ["paper", "blog"]}
+ARCHIVE_FACETS = {"kind": ["paper", "blog"], "targets": ["harbour", "hall"], "tasks": []}
+FACETS = {"kind": ["paper"], "year": ["2022", "2023"], "age": ["365d"], "methods": ["webs", "trials"], "targets": ["harbour"]}
+COUNT_FACETS = {"methods": ["webs"], "kind": ["paper", "blog"]}
 YEARS = tuple(str(year) for year in range(2018, 2025))
 
 

@@ -41,19 +41,19 @@ MINIMUM_FINAL = 0.30
 TAXONOMY = check_taxonomy(
     Taxonomy(
         labels=(
-            Label("targets", "content", "内容", "Content", ("in the", "is the")),
-            Label("targets", "user", "用户", "User", ("para", "que")),
-            Label("targets", "room", "房间", "Room", ("und",)),
-            Label("scenarios", "text_feed", "文字", "Text Feed", ("and the",)),
-            Label("scenarios", "voice_chat", "语音", "Voice Chat", ("pour",)),
-            Label("scenarios", "livestream", "直播", "Livestream", ("thin",)),
-            Label("scenarios", "friend_recommendation", "好友", "Friends", ("shon", "hand")),
-            Label("tasks", "retrieval", "召回", "Retrieval", ("thing",)),
-            Label("tasks", "ranking", "排序", "Ranking", ("tion",)),
-            Label("tasks", "reranking", "重排", "Re-ranking", ("when",)),
-            Label("methods", "two_tower", "双塔", "Two-Tower", ("thou",)),
-            Label("methods", "graph", "图", "Graph", ("thes",)),
-            Label("methods", "rl", "强化", "Reinforcement", ("thwh",)),
+            Label("targets", "harbour", "港口", "Harbour", ("in the", "is the")),
+            Label("targets", "reader", "读者", "Reader", ("para", "que")),
+            Label("targets", "hall", "大厅", "Hall", ("und",)),
+            Label("scenarios", "leaflet", "传单", "Leaflet", ("and the",)),
+            Label("scenarios", "choir", "合唱", "Choir", ("pour",)),
+            Label("scenarios", "market_day", "集市", "Market Day", ("thin",)),
+            Label("scenarios", "neighbours", "邻居", "Neighbours", ("shon", "hand")),
+            Label("tasks", "gathering", "收集", "Gathering", ("thing",)),
+            Label("tasks", "choosing", "择优", "Choosing", ("tion",)),
+            Label("tasks", "second_look", "复看", "Second Look", ("when",)),
+            Label("methods", "paired_nets", "双网", "Paired Nets", ("thou",)),
+            Label("methods", "webs", "网状", "Webs", ("thes",)),
+            Label("methods", "trials", "试行", "Trials", ("thwh",)),
         ),
         collection_terms=("of the", "and the", "thing", "que", "der", "pour", "license"),
     )
@@ -68,12 +68,8 @@ SOURCES = tuple(Source(f"src{n}", "paper", WEIGHTS[n % 5], required=n == 0) for
 plan = lru_cache(maxsize=64)
 
 
-# Tables with long texts, and the key that spreads them over the cores while they are small.
-TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", TEXT_KEYS.get(name))
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def pick(values, index: Column) -> Column:

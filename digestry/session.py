@@ -20,6 +20,8 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Best-per-key selections prune each input partition whatever their limit.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -35,6 +35,7 @@ BLOG = f"""
 """
 TIME_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX", "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd'T'HH:mm:ssxx", "d MMM yyyy HH:mm Z", "d MMM yyyy HH:mm z",
     "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd",
 )
 
@@ -101,7 +102,7 @@ def scan_atom(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _link(links: Column) -> Column:
     """The alternate or canonical link, else the first one."""
     links = F.coalesce(links, F.array())
-    fitting = F.filter(links, lambda l: l["_rel"].isin("alternate", "canonical") & (l["_href"] != ""))
+    fitting = F.filter(links, lambda l: F.coalesce(l["_rel"], F.lit("alternate")).isin("alternate", "canonical") & (l["_href"] != ""))
     return F.coalesce(F.get(fitting, F.lit(0))["_href"], F.get(links, F.lit(0))["_href"])
 
 
@@ -116,7 +117,7 @@ def _from_item(e: Column) -> Column:
     authors = F.concat(F.coalesce(e["creator"], F.array()), F.coalesce(e["author"], F.array()))
     dates = [e["pubDate"], e["published"], e["updated"], e["date"]]
     return _common(
-        e["guid"], e["title"], e["link"], dates, [e["summary"], e["description"]], authors, e["encoded"], e["doi"]
+        e["guid"], e["title"], F.coalesce(blank_to_null(e["link"]), F.when(e["guid"].rlike("^https?://"), e["guid"])), dates, [e["summary"], e["description"]], authors, e["encoded"], e["doi"]
     )
 
 

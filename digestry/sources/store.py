@@ -107,4 +107,5 @@ def current_version(spark: SparkSession, root: str) -> str | None:
         if "PATH_NOT_FOUND" in str(error):
             return None
         raise
-    return states.agg(F.max("version").alias("v")).first()["v"]
+    # Numbers in versions grow in length before they grow in text order: v10 comes after v9.
+    return states.agg(F.max_by("version", F.struct(F.length("version"), "version")).alias("v")).first()["v"]

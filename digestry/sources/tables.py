@@ -1,36 +1,10 @@
-"""Parquet tables for text-heavy work."""
+"""Parquet tables."""
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A split smaller than this does not keep a core busy.
-SMALL_SPLIT = 4 * 1024 * 1024
-
-
-def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """A parquet table; a small one may be spread over all cores by a key.
-
-    A file with a single row group is read by a single task however many cores
-    there are, and for small tables the text work of that one task dominates.
-    The checks make this a no-op for every table with as many files as cores or
-    with large files: no shuffle of texts happens at scale.
-    """
-    table = spark.read.parquet(path)
-    if spread_by is None:
-        return table
-    cores = spark.sparkContext.defaultParallelism
-    files = table.inputFiles()
-    if len(files) >= cores or stored_bytes(spark, tuple(files)) > cores * SMALL_SPLIT:
-        return table
-    return table.repartition(cores, spread_by)
 
 
-@lru_cache(maxsize=256)
-def stored_bytes(spark: SparkSession, files: tuple[str, ...]) -> int:
-    """Size of a few files from their listing; contents are not read."""
-    listed = spark.read.format("binaryFile").load(list(files))
-    return listed.agg(F.sum("length").alias("n")).first()["n"] or 0
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table. The plan above it is the same whatever the table's size."""
+    return spark.read.parquet(path)

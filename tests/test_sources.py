@@ -147,13 +147,29 @@ def test_window_bounds_reach_the_scan(spark, tmp_path, now):
     assert [r["kind"] for r in fresh.collect()] == ["paper"]
 
 
-def test_small_tables_are_spread_and_large_ones_left_alone(spark, tmp_path, monkeypatch):
-    from digestry.sources import tables
+def test_versions_are_in_order_of_number(spark, tmp_path):
+    gate = spark.createDataFrame([("ok", True)], "check string, passed boolean")
+    state = spark.range(1)
+    for version in ("v9", "v10"):
+        store.publish(gate, {}, state, str(tmp_path), version)
+    assert store.current_version(spark, str(tmp_path)) == "v10"
 
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "t"))
-    assert tables.read_table(spark, str(tmp_path / "t"), "id").rdd.getNumPartitions() == 8
-    monkeypatch.setattr(tables, "SMALL_SPLIT", 0)
-    assert tables.read_table(spark, str(tmp_path / "t"), "id").rdd.getNumPartitions() == 1
+
+ODD_ATOM = """<feed><entry><title>Odd</title><id>urn:odd:1</id><updated>{when}</updated>
+<link rel="self" href="https://example.org/self"/><link href="https://example.org/page"/></entry></feed>"""
+
+
+@pytest.mark.parametrize("when", ["2025-03-04T05:06:00.123456Z", "2025-03-04T05:06Z", "2025-03-04T05:06:00+0000", "2025-03-04T05:06:00Z"])
+def test_links_without_rel_and_usual_dates(spark, when):
+    rows, _ = feeds.scan_atom(spark.createDataFrame([("s", ODD_ATOM.format(when=when))], "source_id string, payload string"))
+    row = rows.first()
+    assert row["url"] == "https://example.org/page" and row["published_at"].replace(microsecond=0) == datetime(2025, 3, 4, 5, 6)
+
+
+def test_guid_stands_for_a_missing_link(spark):
+    payload = "<rss><channel><item><title>No link</title><guid>https://example.org/only-guid</guid><pubDate>Tue, 4 Mar 2025 05:06 +0000</pubDate></item></channel></rss>"
+    rows, _ = feeds.scan_blog_feed(spark.createDataFrame([("s", payload)], "source_id string, payload string"))
+    assert [r["url"] for r in rows.collect()] == ["https://example.org/only-guid"]
 
 
 def test_graph_document(spark, tmp_path):
