@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from digestry.session import scratch_path, stage
 END_ID = 1
 # A block is closed at the first document end past so many ids.
 BLOCK_IDS = 1 << 18
-# Encoded pieces of text that a task remembers; the memory is emptied when full, results do not depend on it.
+# Encoded pieces of text after which a worker starts a new memory, keeping the one before; results do not depend on it.
 REMEMBERED = 300_000
 
 # For each control byte, which of the 16 bytes of four numbers are stored: two bits a number, bytes less one.
@@ -47,7 +48,7 @@ def decode_numbers(control: bytes, data: bytes, count: int) -> np.ndarray:
 PLAIN = re.compile(r"[^\x20\x09-\x0D]+")
 LETTER_RUNS = re.compile(r"[a-zªµºß-öø-ÿ]+|[^a-zªµºß-öø-ÿ\x20\x09-\x0D]+")
 # Words of letters that are encoded by one call.
-JOINED = 4000
+JOINED = 256
 
 
 class PieceEncoder:
@@ -70,25 +71,29 @@ class PieceEncoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         if "'" in text or (not text.isascii() and max(text) > "\xff"):
             return PLAIN.findall(text)
         return LETTER_RUNS.findall(text.lower())
 
-    def learn(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(dict.fromkeys(pieces))
-        words = [p for p in new if LETTER_RUNS.fullmatch(p) and p[0].isalpha()]
-        single = set(new).difference(words)
+    def learn(self, listed: list[list[str]]) -> None:
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        new = set().union(*listed).difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in again)
+        new -= again
+        words = [p for p in new if p[0].isalpha() and LETTER_RUNS.fullmatch(p)]
+        single = new.difference(words)
         for at in range(0, len(words), JOINED):
             own = words[at : at + JOINED]
-            ids = np.array(self.tokenizer.encode(" ".join(own), add_special_tokens=False).ids, self.kind)
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, self.kind)
+            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * ids.itemsize).tolist()
             if len(ends) == len(own):
-                self.known.update(zip(own, (x.tobytes() for x in np.split(ids, ends[:-1])), strict=True))
+                raw = ids.tobytes()
+                self.known.update(zip(own, (raw[i:j] for i, j in zip([0, *ends], ends)), strict=True))
             else:
                 single.update(own)
         single_ones = sorted(single)
@@ -97,10 +102,17 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         listed = [self.pieces(text) for text in texts]
-        self.learn([p for pieces in listed for p in pieces])
+        self.learn(listed)
         return [b"".join(map(self.known.__getitem__, pieces)) for pieces in listed]
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> PieceEncoder:
+    """One for all tasks that a Python worker runs."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
+    return PieceEncoder(path)
+
+
 def id_kind(tokenizer) -> str:
     """Two bytes for each id where the vocabulary allows, else four; only inside the job, files have their own coding."""
     return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
@@ -110,8 +122,7 @@ def encoder(tokenizer_path: str, end_id: int):
     """Batches of (doc_id, tie, text) to (doc_id, tie, ids as little-endian numbers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
-        own = PieceEncoder(tokenizer_path)
+        own = worker_encoder(tokenizer_path)
         end = np.array([end_id], own.kind).tobytes()
         for batch in batches:
             ids = [x + end for x in own.encode(batch.column("text").to_pylist())]
