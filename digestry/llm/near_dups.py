@@ -42,7 +42,7 @@ class NearSettings:
     hashes: int = 384
     step: int = 48
     miss: float = 1e-4
-    rounds: int = 3
+    rounds: int = 2
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
