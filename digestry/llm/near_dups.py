@@ -184,14 +184,15 @@ def block_pruner(settings: NearSettings):
                 band, same = (batch.column(c)[row].as_py() for c in ("band", "same"))
                 (node, root, n), (node_b, root_b, n_b) = ([side.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "n")] for side in sides)
                 left, right = (signatures(side.field("sign"), length) for side in sides)
+                codes, codes_b = (side.field("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, settings.bands) for side in sides)
                 for at in range(len(node)):
                     near = np.minimum(n[at], n_b) * 100 >= np.maximum(n[at], n_b) * settings.percent
                     once = (node[at] < node_b) | (not same)
                     others = np.flatnonzero(near & once & (root[at] != root_b))
                     alive = passing(left, right, np.full(len(others), at), others, table)
-                    # A pair that shares several buckets is reported from the first.
-                    shared = (left[at] == right[others[alive]])[:, : settings.rows * settings.bands].reshape(-1, settings.rows, settings.bands).all(axis=1)
-                    alive = alive[shared.argmax(axis=1) == band]
+                    # A pair that shares several buckets is reported from the first. Only whole band codes tell which one that
+                    # is: bytes of minima also agree by chance, in bands whose bucket the two do not share.
+                    alive = alive[(codes[at] == codes_b[others[alive]]).argmax(axis=1) == band]
                     if len(alive):
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(alive), node[at])), pa.array(node_b[others[alive]])], ["a", "b"])
 
@@ -240,14 +241,16 @@ class NearSets:
         """Of all members of a bucket that are in different components, the pairs whose signatures pass.
 
         Members are packed into blocks of about BLOCK and blocks meet blocks, so a
-        pair becomes a row only if it passes, a task holds two blocks at a time,
-        and the blocks of a large bucket are spread over all tasks.
+        pair becomes a row only if it passes and a task holds two blocks at a time.
+        Each pair of blocks has a key of its own on both sides, so the pairs of a
+        large bucket are spread over all tasks from the start.
         """
         counts = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        placed = members.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).join(self.nodes.select("node", "sign"), "node")
-        packed = stage(placed.groupBy("bucket", "band", "block").agg(F.collect_list(F.struct("node", "root", "n", "sign")).alias("left")), "blocks")
-        other = packed.select("bucket", F.col("block").alias("_block"), F.col("left").alias("right"))
-        met = packed.join(other, "bucket").where("block <= _block").select("band", F.expr("block = _block").alias("same"), "left", "right")
+        placed = members.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).join(self.nodes.select("node", "sign", "bands"), "node")
+        packed = stage(placed.groupBy("bucket", "band", "block", "blocks").agg(F.collect_list(F.struct("node", "root", "n", "sign", "bands")).alias("left")), "blocks")
+        low = packed.select("bucket", "band", F.col("block").alias("low"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("high"), "left")
+        high = packed.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("low"), F.col("block").alias("high"), F.col("left").alias("right"))
+        met = low.join(high, ["bucket", "low", "high"]).select("band", F.expr("low = high").alias("same"), "left", "right")
         return met.mapInArrow(block_pruner(self.settings), "a long, b long")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:

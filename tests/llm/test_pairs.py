@@ -3,11 +3,14 @@ from __future__ import annotations
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from digestry.llm import near_dups
 from digestry.llm.decontaminate import contamination, drop_contaminated
 from digestry.llm.graph_parts import components
-from digestry.llm.near_dups import NearSettings, least_matches, near_duplicates
+from digestry.llm.near_dups import NearSettings, block_pruner, least_matches, near_duplicates
 from digestry.llm.spots import ANCHORS, fingerprint_digest
 from tests.llm.fixtures import BASE, documents, edge_rows, lowered_words, spaced_words, tuples
 
@@ -61,6 +64,32 @@ def test_near_duplicates_in_groups_of_edits(spark):
     assert tuples(near_duplicates(documents(spark, rows)), "doc_id", "n_shingles", "component_id") == brute_classes(rows)
 
 
+def test_blocks_report_a_pair_from_the_first_bucket_it_shares():
+    """Bytes of band 0 agree by chance, its bucket does not; the pair shares the buckets of bands 5 and 7."""
+    settings = NearSettings()
+    sign = bytes(settings.hashes)
+    side = lambda node, codes: [{"node": node, "root": node, "n": 50, "sign": sign, "bands": codes}]
+    left = list(range(settings.bands))
+    right = [code if code in (5, 7) else -code - 1 for code in left]
+    for band, pairs in ((0, []), (5, [(1, 2)]), (7, [])):
+        batch = pa.RecordBatch.from_pylist([{"band": band, "same": False, "left": side(1, left), "right": side(2, right)}])
+        got = [(r["a"], r["b"]) for found in block_pruner(settings)(iter([batch])) for r in found.to_pylist()]
+        assert got == pairs
+
+
+def test_blocks_of_a_large_bucket_all_meet(spark, monkeypatch):
+    """Blocks of about two members, no member in another one's component: links are those of brute force."""
+    monkeypatch.setattr(near_dups, "BLOCK", 2)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(at, " ".join([*base[: 8 * at], f"x{at}", *base[8 * at + 1 :]])) for at in range(20)]
+    sets = near_dups.NearSets(documents(spark, rows))
+    got = sets.confirmed(sets.pruned_blocks(sets.buckets.withColumn("root", F.col("node"))))
+    doc = {r["node"]: r["doc"] for r in sets.nodes.collect()}
+    own = [shingles(t) for _, t in rows]
+    want = {(i, j) for j in range(20) for i in range(j) if 100 * len(own[i] & own[j]) >= 80 * len(own[i] | own[j])}
+    assert {tuple(sorted((doc[r["a"]], doc[r["b"]]))) for r in got.collect()} == want and len(want) == 190
+
+
 def test_bounds_keep_similar_pairs():
     for n, needed in least_matches(NearSettings()):
         assert 0 < needed < 0.8 * n
