@@ -50,15 +50,21 @@ def parts_of(text: str) -> list[tuple[str, int, int]]:
     """All parts (kind, start, end) in code points, base kinds first.
 
     A part of a linked kind that touches a base finding is left out, as are
-    overlaps within a kind.
+    overlaps within a kind. A pattern is tried wherever its own characters occur;
+    opaque values are left out only in texts without any other part, where
+    nothing could link them.
     """
     base = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     base += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)]
     base += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    weak = [("identifier", m.start(), m.end()) for m in NAMED.finditer(text)] if ":" in text or "=" in text else []
-    if weak or base or "://" in text or "=" in text:
-        weak += [("endpoint", m.start(), m.end()) for pattern in (ADDRESS, HOST) for m in pattern.finditer(text)]
+    weak = []
+    if ":" in text or "=" in text:
+        weak += [("identifier", m.start(), m.end()) for m in NAMED.finditer(text)]
+        weak += [("endpoint", m.start(), m.end()) for m in HOST.finditer(text)]
         weak += [("value", m.start(), m.end()) for m in SHORT.finditer(text)]
+    if "://" in text:
+        weak += [("endpoint", m.start(), m.end()) for m in ADDRESS.finditer(text)]
+    if weak or base:
         weak += [("value", m.start(), m.end()) for m in OPAQUE.finditer(text) if opaque(m.group())]
     weak.sort(key=lambda part: (part[0], part[1], -part[2]))
     taken = sorted((start, end) for _, start, end in base)

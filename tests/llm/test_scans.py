@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from digestry.llm.credentials import credential_digest, credential_report
+from digestry.llm.credentials import credential_digest, credential_report, parts_of
 from digestry.llm.licenses import NOTICES, LicenseSettings, edits_for, find_licenses, license_digest, seeds_of
 from tests.llm.fixtures import documents, edge_rows, lowered_words, tuples
 
@@ -61,6 +61,18 @@ def test_weak_parts_count_only_together(spark, text, kinds):
     assert sorted(p["kind"] for p in row["linked"]) == kinds
 
 
+@pytest.mark.parametrize("pair", ["host: db.internal.example\npwd: hunter22x", '{"endpoint": "db.internal.example", "passphrase": "hunter22x"}', f"server: db.internal.example {WEAK}"])
+def test_colon_only_pairs_count_wherever_other_signs_stand(pair):
+    """What is found in a text does not change with an unrelated sign far away."""
+    assert sorted(kind for kind, *_ in parts_of(pair)) == ["endpoint", "value"]
+    assert parts_of(pair + "\n\n1 + 1 = 2") == parts_of(pair)
+
+
+def test_colon_only_pair_is_linked(spark):
+    row = credential_report(documents(spark, [(1, "host: db.internal.example / pwd: hunter22x")])).first()
+    assert sorted(p["kind"] for p in row["linked"]) == ["endpoint", "value"]
+
+
 def test_many_parts_in_one_text(spark):
     text = " ".join(f"user=u{i + 100} pwd: v{i}{'x' * 5}" for i in range(2000))
     row = credential_report(documents(spark, [(1, text)])).first()
