@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from digestry.llm.catalog import prepare, table, tokenizer_path
 from digestry.llm.decontaminate import drop_contaminated
 from digestry.llm.mixing import write_mix
-from digestry.llm.near_dups import SENT_IDS, near_duplicates
+from digestry.llm.near_dups import SENT_IDS, NearSets, is_first, with_set_key
 from digestry.llm.quality import quality_scores
 from digestry.llm.token_files import token_digest
 from digestry.session import scratch_path, stage
@@ -32,15 +32,26 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id, once even if its row is repeated."""
+    """One document of each group: the one with the smallest doc_id, once even if its row is repeated.
+
+    Rows without doc_id stay if they are empty, give way to a group that has an
+    id, and otherwise leave one of their group: one row of its smallest set key.
+    """
     prepare(spark)
-    classes = stage(near_duplicates(docs), "classes").groupBy(F.col("doc_id").alias("gone")).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    left = without(docs, classes.where("NOT kept").select("gone"))
+    placed = stage(NearSets(docs).placed(), "classes")
+    classes = placed.where("doc_id IS NOT NULL").withColumn("kept", is_first()).groupBy(F.col("doc_id").alias("gone")).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    left = without(docs.where("doc_id IS NOT NULL"), classes.where("NOT kept").select("gone"))
     repeated = stage(classes.where("kept AND n > 1").select("gone"), "repeated")
-    if not repeated.limit(1).count():
+    if repeated.limit(1).count():
+        again = left.join(repeated, left["doc_id"].eqNullSafe(repeated["gone"]), "left_semi").dropDuplicates(["doc_id", "text"])
+        left = without(left, repeated).unionByName(again)
+    if not placed.where("doc_id IS NULL").limit(1).count():
         return left
-    again = left.join(repeated, left["doc_id"].eqNullSafe(repeated["gone"]), "left_semi").dropDuplicates(["doc_id", "text"])
-    return without(left, repeated).unionByName(again)
+    nameless = with_set_key(docs.where("doc_id IS NULL"), "_key")
+    chosen = placed.where("n > 0 AND component_id IS NULL").groupBy("root").agg(F.min("key").alias("_key")).select("_key")
+    whole = F.struct(*docs.columns)
+    alone = nameless.join(chosen, "_key", "left_semi").groupBy("_key").agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("_row")).select("_row.*")
+    return left.unionByName(nameless.where("_key IS NULL").drop("_key")).unionByName(alone)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

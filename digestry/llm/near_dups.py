@@ -10,8 +10,9 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from digestry.llm.graph_parts import components
 from digestry.llm.texts import text_of
@@ -298,15 +299,35 @@ class NearSets:
             found = found.unionByName(self.confirmed(self.pruned(self.against_leader(self.rooted(found), F.xxhash64("node", "bucket", F.lit(turn))))))
         return found.unionByName(self.confirmed(self.pruned_blocks(self.rooted(found))))
 
-    def classes(self) -> DataFrame:
-        """doc_id, n_shingles, component_id and kept for every input row."""
+    def placed(self) -> DataFrame:
+        """doc_id, n, key, root and component_id for every input row; a row without shingles has no root."""
         parts = components(self.links())
         named = self.nodes.select("node", "key", "doc").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
         smallest = named.groupBy("root").agg(F.min("doc").alias("component_id"))
-        of_key = named.join(smallest, "root").select("key", "component_id")
+        of_key = named.join(smallest, "root").select("key", "root", "component_id")
         rows = self.rows.select("doc_id", "n", "key").join(of_key, "key", "left")
         component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-        return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+        return rows.select("doc_id", "n", "key", "root", component.alias("component_id"))
+
+    def classes(self) -> DataFrame:
+        """doc_id, n_shingles, component_id and kept for every input row."""
+        return self.placed().select("doc_id", F.col("n").alias("n_shingles"), "component_id", is_first().alias("kept"))
+
+
+def is_first() -> Column:
+    return F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+
+
+def with_set_key(rows: DataFrame, out: str, settings: NearSettings | None = None) -> DataFrame:
+    """Add `out`: the key of the row's shingle set, null for a set without shingles."""
+    width = (settings or NearSettings()).width
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets([text or "" for text in batch.column("text").to_pylist()], width)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([set_key(x) if len(x) else None for x in sets], pa.binary())], [*batch.schema.names, out])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, BinaryType())]))
 
 
 def near_duplicates(docs: DataFrame, settings: NearSettings | None = None) -> DataFrame:

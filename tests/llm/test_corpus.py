@@ -14,7 +14,7 @@ from digestry.llm.ordered import running_sums
 from digestry.llm.ppm import EDGE, PpmSettings, Trie, grams, lm_scores
 from digestry.llm.quality import quality_scores
 from digestry.llm.token_files import decode_numbers, encode_numbers, read_token_files, token_digest, write_token_files
-from tests.llm.fixtures import documents, edge_rows, spaced_words, tuples
+from tests.llm.fixtures import BASE, documents, edge_rows, spaced_words, tuples
 
 SF = "/root/testdata/sf0.001"
 
@@ -218,3 +218,16 @@ def test_one_of_each_group_stays(spark):
     left = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), SF).collect()
     counts = Counter(r["doc_id"] for r in left)
     assert counts[1] == 2 and 3 not in counts and 8 not in counts and counts[2] == 1
+
+
+def test_rows_without_id_leave_one_of_each_group(spark):
+    near = BASE + " end"
+    other = " ".join(f"other{i}" for i in range(60))
+    rows = [(1, BASE), (None, near), (None, other), (None, other.upper()), (None, other + " end"), (None, "a clean text that nobody else has"), (None, ""), (None, None), (2, "another clean text")]
+    left = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), SF)
+    assert left.columns == documents(spark, rows).columns
+    texts = [(r["doc_id"], r["text"]) for r in left.collect()]
+    assert [t for t in texts if t[0] is not None] == [(1, BASE), (2, "another clean text")]
+    nameless = [t for i, t in texts if i is None]
+    assert len([t for t in nameless if t and t.lower().startswith("other0")]) == 1
+    assert sorted((t for t in nameless if not (t and t.lower().startswith("other0"))), key=repr) == sorted(["a clean text that nobody else has", "", None], key=repr)
