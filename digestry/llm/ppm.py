@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from digestry.llm.texts import crc_mod, text_of
@@ -24,9 +24,9 @@ HELD_WORDS = 400_000
 
 @dataclass(frozen=True)
 class PpmSettings:
-    """`order` bytes of context, at most 6. A context or symbol stays in the model if it makes up at least one part in
-    `parts` of all training bytes, so each order has at most `parts` entries whatever the corpus; words that
-    make up one part in `head` of the tokens are looked up while scanning, at most `head` of them.
+    """`order` bytes of context, at most 6. Grams that make up at least one part in `parts` of all training bytes are
+    looked up while scanning, at most `parts` of them, and words that make up one part in `head` of the tokens, at most
+    `head` of them. All others are scored by joins with the full counts, so neither setting changes a score.
     """
 
     order: int = 5
@@ -85,7 +85,9 @@ def gathered(order: int):
 
 
 class Trie:
-    """Contexts of 0 to `order` bytes with the symbols seen after them, as sorted arrays.
+    """The model in memory, which may be pruned; `lengths_of` and `novel_lengths` are the same rules on whole tables.
+
+    Contexts of 0 to `order` bytes with the symbols seen after them, as sorted arrays.
 
     If a context has a symbol, so has every shorter one. Hence the symbols to
     exclude after an escape are those of the context just left, and their weight
@@ -150,59 +152,94 @@ class Trie:
         return length
 
 
-def scorer(order: int, levels: np.ndarray, codes: np.ndarray, counts: np.ndarray, totals: np.ndarray, head: dict[bytes, float]):
+def scorer(order: int, codes: np.ndarray, lengths: np.ndarray, head: dict[bytes, float]):
+    """Sums over the grams (sorted `codes`) and words that are looked up, and the distinct others with their counts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(order, levels, codes, counts, totals)
-        bits = np.uint64(64 - 8 * (order + 1))  # beside a gram, for the place of its document
-        low = (np.uint64(1) << bits) - np.uint64(1)
         for batch in batches:
-            texts = [text.encode().lower() for text in batch.column("text").to_pylist()]
-            scores, own, size, first = np.zeros(len(texts)), [], 0, 0
-
-            def settle(own=own, scores=scores):
-                """Sorted by gram and document, so that each distinct gram is looked up once."""
-                keys = np.concatenate(own)
-                keys.sort()
-                codes_of = keys >> bits
-                starts = np.flatnonzero(np.concatenate(([True], codes_of[1:] != codes_of[:-1])))
-                each = np.repeat(trie.lengths(codes_of[starts]), np.diff(np.append(starts, len(keys))))
-                sums = np.bincount((keys & low).astype(np.int64), weights=each)
-                scores[first : first + len(sums)] -= sums
-                own.clear()
-
-            for at, text in enumerate(texts):
-                for part in grams(text, order):
-                    if own and (size > 2 * PIECE or at - first > int(low)):
-                        settle()
-                        size = 0
-                    first = first if own else at
-                    own.append(part << bits | np.uint64(at - first))
-                    size += len(part)
-            if own:
-                settle()
-            sums, known, tokens, tails = [], [], [], []
-            for text in texts:
-                words = [*text.split(), b""]
+            scores, rest, times, sums, known, tokens, tails = [], [], [], [], [], [], []
+            for text in batch.column("text").to_pylist():
+                lowered = text.encode().lower()
+                score, others, counts = 0.0, [], []
+                for part in grams(lowered, order):
+                    own, n = np.unique(part, return_counts=True)
+                    place, there = Trie.find(codes, own)
+                    score -= float((lengths[place[there]] * n[there]).sum())
+                    others.append(own[~there].astype(np.int64))
+                    counts.append(n[~there].astype(np.int32))
+                scores.append(score)
+                rest.append(np.concatenate(others))
+                times.append(np.concatenate(counts))
+                words = [*lowered.split(), b""]
                 found = [head.get(w) for w in words]
                 tails.append([w for w, x in zip(words, found, strict=True) if x is None])
                 sums.append(sum(x for x in found if x is not None))
                 known.append(len(words) - len(tails[-1]))
                 tokens.append(len(words))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores), pa.array(tails, pa.list_(pa.binary()))],
-                ["doc_id", "held_out", "n_tokens", "known", "logs", "score", "tail"],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()), pa.array(scores, pa.float64()), pa.array(tails, pa.list_(pa.binary())), pa.array(rest, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
+                ["doc_id", "held_out", "n_tokens", "known", "logs", "seen_score", "tail", "grams", "times"],
             )
 
     return run
 
 
+def mask(size: int) -> Column:
+    return F.lit((1 << 8 * size) - 1).cast("long")
+
+
+def context_of(code: Column) -> Column:
+    return F.shiftrightunsigned(code, 8)
+
+
+def lengths_of(counts: DataFrame) -> DataFrame:
+    """gram, n, length: -log10 of the probability of each gram that has been seen. A context has at most 256 symbols."""
+    own = Window.partitionBy(context_of(F.col("gram")))
+    return counts.select("gram", "n", (F.log10(F.sum("n").over(own) + F.count("*").over(own)) - F.log10("n")).alias("length"))
+
+
+def novel_lengths(novel: DataFrame, counts: DataFrame, order: int) -> DataFrame:
+    """gram, length of grams that have never been seen: escapes from the longest context down, as in `Trie.lengths`.
+
+    Each order has a table of its distinct entries. Only contexts that a novel
+    gram has are described: how often they were met, by how many symbols, and how
+    often these were met in the shorter context. Tables of order 0 and 1 have at
+    most 65 536 rows whatever the corpus, and go to every task.
+    """
+    entries = {order: counts.select(F.col("gram").alias("code"), "n")}
+    for level in range(order - 1, -1, -1):
+        entries[level] = stage(entries[level + 1].select(F.col("code").bitwiseAND(mask(level + 1)).alias("code"), "n").groupBy("code").agg(F.sum("n").alias("n")), f"order{level}")
+    small = lambda df, level: F.broadcast(df) if level < 2 else df
+    none = F.lit(0).cast("long")
+    state = novel.select("gram", F.lit(0.0).alias("length"), F.lit(False).alias("done"), none.alias("gone"), none.alias("excluded"))
+    for level in range(order, -1, -1):
+        context = context_of(F.col("gram")).bitwiseAND(mask(level))
+        own = entries[level].select("code", "n", context_of(F.col("code")).alias("context"))
+        if level > 1:
+            own = own.join(novel.select(context.alias("context")).distinct(), "context", "left_semi")
+        if level:
+            shorter = entries[level - 1].select(F.col("code").alias("_short"), F.col("n").alias("less"))
+            own = own.join(small(shorter, level - 1), F.col("code").bitwiseAND(mask(level)) == F.col("_short"))
+        else:
+            own = own.withColumn("less", none)
+        contexts = own.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("symbols"), F.sum("less").alias("less"))
+        met = entries[level].select(F.col("code").alias("_code"), F.col("n").alias("seen"))
+        state = state.withColumn("_context", context).withColumn("_entry", F.col("gram").bitwiseAND(mask(level + 1)))
+        state = state.join(small(contexts, level), F.col("_context") == F.col("context"), "left").join(small(met, level), F.col("_entry") == F.col("_code"), "left")
+        whole = F.log10(F.col("total") - F.col("excluded") + F.col("symbols") - F.col("gone"))
+        left = F.col("symbols") - F.col("gone")
+        more = F.when(F.col("done") | F.col("total").isNull(), 0.0).when(F.col("seen").isNotNull(), whole - F.log10("seen")).when(left > 0, whole - F.log10(left)).otherwise(0.0)
+        state = state.select("gram", (F.col("length") + more).alias("length"), (F.col("done") | F.col("seen").isNotNull()).alias("done"), F.coalesce("symbols", none).alias("gone"), F.coalesce("less", none).alias("excluded"))
+    return state.select("gram", (F.col("length") + F.when(F.col("done"), 0.0).otherwise(F.log10(F.lit(SYMBOLS) - F.col("gone")))).alias("length"))
+
+
 def lm_scores(docs: DataFrame, settings: PpmSettings | None = None, divisor: int = 7, held: int = 2) -> DataFrame:
     """Score every row of `docs` after learning from those whose crc32(doc_id) mod `divisor` is not `held`.
 
     Grams of `order` + 1 bytes and words are counted over all training texts;
-    shorter contexts follow by grouping. The pruned model is bounded by its
-    settings and goes to every task. Words that are too rare for the model's head
-    are scored by a join with the full counts, so the base score is exact. Null
+    shorter contexts follow by grouping. Nothing is pruned: what is frequent is
+    looked up in every task, and the distinct rarer grams and words of each text
+    are joined with the full tables, so both scores are exact. Null
     texts are empty and consist of their end alone; with nothing to learn from,
     every byte costs log10(256). A null doc_id counts as the empty text in the split.
     """
@@ -217,18 +254,20 @@ def lm_scores(docs: DataFrame, settings: PpmSettings | None = None, divisor: int
     head = dict(zip((bytes(w) for w in frequent["word"]), np.log10(frequent["n"].to_numpy(float) + 1).tolist(), strict=True))
 
     whole = counts.where("gram IS NOT NULL").agg(F.sum("n")).first()[0] or 0
-    masks = F.array(*(F.lit((1 << 8 * (level + 1)) - 1) for level in range(settings.order + 1)))
-    level = F.posexplode(masks).alias("level", "mask")
-    shorter = counts.where("gram IS NOT NULL").select("gram", "n", level).select("level", F.col("gram").bitwiseAND(F.col("mask")).alias("code"), "n")
-    every = stage(shorter.groupBy("level", "code").agg(F.sum("n").alias("n")).withColumn("context", F.shiftrightunsigned("code", 8)), "grams")
-    kept = every.where(F.col("n") * settings.parts >= whole)
-    of_context = every.groupBy("level", "context").agg(F.sum("n").alias("total"))
-    model = kept.join(of_context, ["level", "context"]).select("level", "code", "n", "total").toPandas()  # at most (order + 1) * parts rows
-    run = scorer(settings.order, model["level"].to_numpy(int), model["code"].to_numpy(np.int64), model["n"].to_numpy(np.int64), model["total"].to_numpy(np.int64), head)
+    counts = counts.where("gram IS NOT NULL").select("gram", "n")
+    lengths = stage(lengths_of(counts), "lengths", compression="zstd")
+    often = lengths.where(F.col("n") * settings.parts >= whole).select("gram", "length").orderBy("gram").toPandas()  # at most settings.parts rows
+    run = scorer(settings.order, often["gram"].to_numpy(np.int64).astype(np.uint64), often["length"].to_numpy(float), head)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens long, known long, logs double, score double, tail array<binary>")
+    scored = rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens long, known long, logs double, seen_score double, tail array<binary>, grams array<long>, times array<int>")
     scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "scored", compression="zstd")
     tails = scored.select("row", F.explode("tail").alias("word")).join(words, "word", "left")
     rare = tails.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("more_logs"), F.count("n").alias("more_known"))
+    pairs = scored.select("row", "held_out", F.explode(F.arrays_zip("grams", "times")).alias("pair")).select("row", "held_out", F.col("pair.grams").alias("gram"), F.col("pair.times").alias("times"))
+    # Only texts that were held out can have grams that the counts do not have.
+    novel = stage(pairs.where("held_out").select("gram").distinct().join(counts, "gram", "left_anti"), "novel")
+    every = lengths.select("gram", "length").unionByName(novel_lengths(novel, counts, settings.order))
+    tail_scores = pairs.join(every, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("length")).alias("tail_length"))
+    score = F.col("seen_score") - F.coalesce("tail_length", F.lit(0.0))
     logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(tokens + distinct + 1)))
-    return scored.drop("tail").join(rare, "row", "left").select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), logs.alias("base_score"), "score")
+    return scored.drop("tail", "grams", "times").join(rare, "row", "left").join(tail_scores, "row", "left").select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), logs.alias("base_score"), score.alias("score"))

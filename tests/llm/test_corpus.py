@@ -154,6 +154,15 @@ def test_lm_scores_equal_brute_force(spark):
     assert sorted(((*r[:5], round(r[5], 6), round(r[6], 6)) for r in got), key=repr) == sorted(want, key=repr)
 
 
+def test_settings_of_the_head_do_not_change_scores(spark):
+    """With one part in 64 nearly all grams are beyond the head; they count as they were seen all the same."""
+    rows = [(r[0], r[1] and r[1][:400]) for r in edge_rows()] + [(40 + i, f"the {w} of the mill") for i, w in enumerate(["bread", "stone", "grey goose", "été", "fox fox"])]
+    train = [(t or "").encode().lower() for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    got = lm_scores(documents(spark, rows), PpmSettings(order=3, parts=64, head=4)).collect()
+    want = [(i, round(plain_ppm(train, (t or "").encode().lower(), 3), 6)) for i, t in rows]
+    assert sorted(((r["doc_id"], round(r["score"], 6)) for r in got), key=repr) == sorted(want, key=repr)
+
+
 def test_lm_without_training_rows(spark):
     alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     row = lm_scores(documents(spark, [(alone, "abc")])).first()
