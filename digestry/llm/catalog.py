@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from digestry.llm import sql
+
 # Texts go to Python in batches that fit beside each other in a worker.
 ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "32m"}
 
@@ -13,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def query(function: Query) -> Query:
@@ -33,10 +36,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query
@@ -109,6 +112,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from digestry.llm.pieces import piece_digest
+
+    return piece_digest(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
+
+
+@query
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from digestry.llm.centroids import cluster_digest
+
+    return cluster_digest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from digestry.llm.manifest import manifest_digest
+
+    return manifest_digest(table(spark, sf_dir, "documents"))
+
+
 SQL["op2_decontamination"] = r"""
 WITH item AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -128,3 +152,5 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(array_to_string(list_sort(l), ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)
 """
+SQL["op12_centroid_clusters"] = sql.clusters()
+SQL["op13_merkle_manifest"] = sql.manifest()
