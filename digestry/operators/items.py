@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -68,10 +69,14 @@ def pruning_warnings(marked: DataFrame, key: str = "id") -> DataFrame:
     )
 
 
+def json_bytes(columns: Sequence[str]) -> Column:
+    """Bytes of a row's JSON form."""
+    return F.octet_length(F.to_json(F.struct(*[F.col(c) for c in columns])))
+
+
 def size_violations(items: DataFrame, limit: int, key: str = "id") -> DataFrame:
     """Items whose JSON form exceeds the limit in bytes."""
-    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in items.columns])))
-    return items.select(key, size.alias("bytes")).where(F.col("bytes") > limit)
+    return items.select(key, json_bytes(items.columns).alias("bytes")).where(F.col("bytes") > limit)
 
 
 def upsert(history: DataFrame, current: DataFrame, key: str = "id") -> DataFrame:

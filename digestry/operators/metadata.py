@@ -70,8 +70,8 @@ def validate_batches(
     requested: DataFrame, returned: DataFrame, batch_keys: Sequence[str], known_labels: Sequence[str],
     script: str = CJK,
 ) -> DataFrame:
-    """One row per batch: sound only if exactly the requested ids came back once, all labels are known
-    and every summary is readable."""
+    """One row per batch: sound only if exactly the requested ids came back once, all labels are known,
+    every summary is readable and every relevance lies between 0 and 1."""
     keys = [*batch_keys, "id"]
     counted = returned.groupBy(*keys).agg(
         F.count("*").alias("copies"),
@@ -79,6 +79,7 @@ def validate_batches(
         F.bool_and(
             F.forall("proposed", lambda label: label.isin(*known_labels))
         ).alias("known"),
+        F.bool_and(F.coalesce(F.col("relevance").between(0, 1), F.lit(False))).alias("in_range"),
     )
     asked = requested.select(*keys).withColumn("asked", F.lit(True))
     pairs = asked.join(counted, keys, "full_outer")
@@ -87,6 +88,7 @@ def validate_batches(
         & (F.coalesce("copies", F.lit(0)) == 1)
         & F.coalesce("readable", F.lit(False))
         & F.coalesce("known", F.lit(False))
+        & F.coalesce("in_range", F.lit(False))
     )
     return pairs.groupBy(*batch_keys).agg(
         F.count_if(F.col("asked")).alias("requested"),
@@ -101,7 +103,8 @@ def resolve(
 ) -> DataFrame:
     """Grounded model metadata for sound batches, rule metadata for every row of the others.
 
-    Only answers of sound batches take part in the join: there every id occurs once.
+    `requested` is capped per kind and carries the excerpt, the start of which is
+    the summary of a row by rule. Only answers of sound batches take part in the join: there every id occurs once.
     """
     flags = batches.where("ok").select(*batch_keys, F.lit(True).alias("sound"))
     model = returned.join(flags, list(batch_keys), "left_semi").select(
@@ -115,7 +118,7 @@ def resolve(
         *[c for c in requested.columns if c not in GROUPS],
         *[column.alias(group) for group, column in labels.items()],
         lost.alias("label_rejections"),
-        F.when(sound, F.col("m_summary")).otherwise(rule_summary(F.col("title"), summary_limit, script)).alias("summary"),
+        F.when(sound, F.col("m_summary")).otherwise(rule_summary(F.col("excerpt"), summary_limit, script)).alias("summary"),
         F.when(sound, F.col("relevance")).otherwise(clamp(F.col("metadata_score"))).alias("relevance_score"),
         (~sound).alias("degraded"),
     )

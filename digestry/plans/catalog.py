@@ -23,6 +23,7 @@ def all_queries() -> dict[str, Query]:
         q_metadata,
         q_quality,
         q_readings,
+        q_run,
         q_serve,
         q_state,
         q_streams,

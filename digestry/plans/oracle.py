@@ -347,13 +347,14 @@ def kept(group: str) -> str:
                ELSE coalesce(l.{group}, '') END AS {group}"""
 
 
+start = f"substr({strip('c.excerpt')}, 1, 4000)"
 shared("r_res", f"""
 SELECT t.*, NOT v.ok AS degraded, {kept('targets')}, {kept('scenarios')}, {kept('tasks')}, {kept('methods')},
        CASE WHEN v.ok AND NOT EXISTS (SELECT 1 FROM r_lab x WHERE x.kind = t.kind AND x.row_key = t.row_key AND x.label = a.label)
             THEN 1 ELSE 0 END::BIGINT AS label_rejections,
-       CASE WHEN v.ok THEN a.summary WHEN regexp_matches(t.title, '\\p{{L}}') THEN {strip('t.title')} END AS summary,
+       CASE WHEN v.ok THEN a.summary WHEN regexp_matches({start}, '\\p{{L}}') THEN {start} END AS summary,
        CASE WHEN v.ok THEN a.relevance ELSE greatest(0::DOUBLE, least(1::DOUBLE, t.metadata_score)) END AS relevance
-FROM r_topb t JOIN r_topv v USING (batch)
+FROM r_topb t JOIN r_topv v USING (batch) JOIN r_cand c ON c.kind = t.kind AND c.row_key = t.row_key
 LEFT JOIN r_labels l ON l.kind = t.kind AND l.row_key = t.row_key
 LEFT JOIN r_topa a ON v.ok AND a.batch = t.batch AND a.id = t.id""")
 check("metadata_resolved", f"""

@@ -101,11 +101,12 @@ def validated(eligible: DataFrame) -> DataFrame:
 
 def resolve_top(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(resolved rows, batches) of the prefiltered candidates in their exact global order."""
-    return resolve_of(stage(prefilter.top_candidates(roles.eligible_candidates(spark, sf_dir), SETTINGS), "prefiltered"))
+    top = stage(prefilter.top_candidates(roles.eligible_candidates(spark, sf_dir), SETTINGS), "prefiltered")
+    return resolve_of(spark, sf_dir, top)
 
 
-def resolve_of(top: DataFrame) -> tuple[DataFrame, DataFrame]:
-    requested = metadata.assign_batches(top, prefilter.score_order(), SETTINGS.batch_size)
+def resolve_of(spark: SparkSession, sf_dir: str, top: DataFrame) -> tuple[DataFrame, DataFrame]:
+    requested = metadata.assign_batches(roles.with_excerpts(spark, sf_dir, top), prefilter.score_order(), SETTINGS.batch_size)
     returned = returned_metadata(requested, ["batch"])
     batches = metadata.validate_batches(requested, returned, ["batch"], LABEL_IDS, SCRIPT)
     resolved = metadata.resolve(requested, returned, batches, ["batch"], SETTINGS.max_excerpt_chars, SCRIPT)

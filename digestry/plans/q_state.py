@@ -72,7 +72,7 @@ def funnel_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "collected": collect.dedupe_collected(fresh),
         "eligible": eligible,
         "prefiltered": top,
-        "shortlisted": shortlisted(resolve_of(top)[0]),
+        "shortlisted": shortlisted(resolve_of(spark, sf_dir, top)[0]),
         "recommended": ranked_items(roles.items_of(roles.scored_of(spark, sf_dir, eligible))),
     }
     return reports.funnel(stages)

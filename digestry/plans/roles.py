@@ -28,6 +28,7 @@ from digestry.operators.scoring import (
     technical_depth,
 )
 from digestry.operators.select_best import best_per_key
+from digestry.session import stage
 from digestry.sources.pages import article_text, page_title
 from digestry.sources.tables import read_table
 
@@ -128,6 +129,12 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate(candidates(spark, sf_dir), TAXONOMY, SETTINGS, NOW)
 
 
+def with_excerpts(spark: SparkSession, sf_dir: str, chosen: DataFrame) -> DataFrame:
+    """Rows that a cap has chosen, with their text again."""
+    texts = candidates(spark, sf_dir).select("kind", "row_key", "excerpt")
+    return stage(texts.join(chosen, ["kind", "row_key"]), "with-text")
+
+
 @plan
 def document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paper_candidates(spark, sf_dir).select("row_key", "id")

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from check import compare, connect
 from digestry.plans.catalog import all_queries
-from digestry.plans.oracle import CHECKS
+from digestry.plans.oracle_run import CHECKS
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(all_queries())

@@ -37,8 +37,8 @@ def test_responses_are_unfenced_and_strict(spark):
 
 def batch_frames(spark, answers, n=16):
     requested = spark.createDataFrame(
-        [(f"i{k:02d}", "t 中", 0.9 - k / 100, ["content"], [], [], [], k) for k in range(n)],
-        "id string, title string, metadata_score double, targets array<string>, scenarios array<string>, tasks array<string>, methods array<string>, row_key bigint",
+        [(f"i{k:02d}", "title", " e 中", 0.9 - k / 100, ["content"], [], [], [], k) for k in range(n)],
+        "id string, title string, excerpt string, metadata_score double, targets array<string>, scenarios array<string>, tasks array<string>, methods array<string>, row_key bigint",
     )
     requested = metadata.assign_batches(requested, [F.col("id")], 8)
     returned = spark.createDataFrame(answers, "batch bigint, id string, summary string, proposed array<string>, relevance double")
@@ -54,6 +54,7 @@ def good(n=16):
     [
         lambda rows: rows[:-1], lambda rows: rows + [rows[-1]], lambda rows: rows + [(1, "stray", "好", ["gnn"], 0.1)],
         lambda rows: rows[:-1] + [(1, "i15", "latin", ["gnn"], 0.1)], lambda rows: rows[:-1] + [(1, "i15", "好", ["nope"], 0.1)],
+        lambda rows: rows[:-1] + [(1, "i15", "好", ["gnn"], 1.1)], lambda rows: rows[:-1] + [(1, "i15", "好", ["gnn"], None)],
     ],
 )
 def test_one_bad_row_degrades_its_whole_batch(spark, break_it):
@@ -66,7 +67,7 @@ def test_one_bad_row_degrades_its_whole_batch(spark, break_it):
         if row["batch"] == 0:
             assert (row["degraded"], row["summary"], row["targets"], row["methods"], row["label_rejections"]) == (False, "好", ["content"], [], 1)
         else:
-            assert (row["degraded"], row["summary"], row["targets"], row["relevance_score"]) == (True, "t 中", ["content"], row["metadata_score"])
+            assert (row["degraded"], row["summary"], row["targets"], row["relevance_score"]) == (True, "e 中", ["content"], row["metadata_score"])
 
 
 def test_rule_summary_needs_the_script(spark):
