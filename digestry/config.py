@@ -2,7 +2,7 @@
 
 The taxonomy is configuration written by people and is compiled into the plan
 whatever its size; the source list is small by contract (`MAX_SOURCES`). A
-vocabulary that is itself data goes through `operators.terms.match_terms_joined`.
+vocabulary that is itself data goes through `operators.terms.match_terms`.
 """
 
 from __future__ import annotations

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from digestry.config import GROUPS, Taxonomy
+from digestry.functions.bind import compute_once
 from digestry.functions.text import normalize_title, words_regex
+from digestry.session import stage
 
 
 def candidate_text(title: Column, excerpt: Column, categories: Column) -> Column:
@@ -65,30 +68,78 @@ def collection_gate(hits: Column, taxonomy: Taxonomy) -> Column:
     return term_coverage(hits, taxonomy.evidence_terms()) > 0
 
 
-def match_terms_joined(
-    texts: DataFrame, terms: DataFrame, key: str = "id", text: str = "text_norm", salts: int = 32
-) -> DataFrame:
-    """(key, term) pairs for vocabularies of any size.
+# Runs of word characters, and every other character by itself: no term begins or ends inside such a token.
+TOKEN = r"(?U)\w+|\W"
+OTHER = r"(?Us)^\W$"
 
-    The first word of a term is the join key, so a text meets only terms that
-    can match; the pattern then decides. Common words are spread over `salts`
-    copies of the vocabulary, since one word may occur in most texts.
+
+@dataclass(frozen=True)
+class Form:
+    """Terms of one length in tokens: whether any of them begins, or ends, with a character that is no word character."""
+
+    length: int
+    begins_other: bool = False
+    ends_other: bool = False
+
+
+def tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+
+def is_other(token: Column) -> Column:
+    return F.when(F.length(token) > 1, F.lit(False)).otherwise((token == " ") | token.rlike(OTHER))
+
+
+def token_runs(texts: DataFrame, keys: Sequence[str], text: Column, forms: Sequence[Form]) -> DataFrame:
+    """(keys, term): at every token of the text the runs of tokens that a term of these forms could equal, repeats included.
+
+    Where a run begins or ends with another character than a word character,
+    a word right beside it rules the run out. One row for each token comes
+    first and takes its neighbours from the array, so that all of it is compiled.
     """
-    vocabulary = (
-        terms.select(F.lower(F.trim("term")).alias("term"))
-        .where(F.col("term") != "")
-        .distinct()
-        .withColumn("first_word", F.regexp_extract("term", r"(?U)(\w+)", 1))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    words = F.explode(F.array_distinct(F.concat(F.split(text, r"(?U)\W+"), F.array(F.lit("")))))
-    candidates = texts.select(key, text, words.alias("first_word")).withColumn(
-        "salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
-    )
-    literal = F.regexp_replace("term", r"(?U)([^\w\s])", r"\\$1")
-    pattern = F.concat(F.lit("(?U)"), literal, F.lit(r"(?!\w)(?<!\w"), literal, F.lit(")"))
-    return (
-        candidates.join(vocabulary, ["first_word", "salt"])
-        .where(F.contains(F.col(text), F.col("term")) & F.call_function("rlike", F.col(text), pattern))
-        .select(key, "term")
+    cut = compute_once(texts.select(*keys, text.alias("_text")), _tokens=tokens(F.col("_text")))
+    at = cut.select(*keys, "_tokens", F.posexplode("_tokens").alias("_at", "_token"))
+    if not any(form.begins_other for form in forms):
+        at = at.where(~is_other(F.col("_token")))
+
+    def token(shift: int) -> Column:
+        return F.get("_tokens", F.col("_at") + shift) if shift else F.col("_token")
+
+    def run(form: Form) -> Column:
+        whole = F.concat(*(token(i) for i in range(form.length)))  # null past the end
+        stands = F.lit(True)
+        if form.begins_other:
+            stands = stands & ~(is_other(token(0)) & F.coalesce(~is_other(token(-1)), F.lit(False)))
+        if form.ends_other:
+            stands = stands & ~(is_other(token(form.length - 1)) & F.coalesce(~is_other(token(form.length)), F.lit(False)))
+        return F.when(stands, whole)
+
+    return at.select(*keys, F.explode(F.array(*map(run, forms))).alias("term")).where(F.col("term").isNotNull())
+
+
+def vocabulary(terms: DataFrame) -> DataFrame:
+    """Distinct folded terms (column term) with their number of tokens and how they begin and end."""
+    folded = terms.select(normalize_title(F.col("term")).alias("term")).where(F.col("term") != "").distinct()
+    return folded.select(
+        "term", F.size(tokens(F.col("term"))).alias("length"),
+        F.col("term").rlike(r"(?U)^\W").alias("begins_other"), F.col("term").rlike(r"(?U)\W$").alias("ends_other"),
     )
+
+
+def match_terms(texts: DataFrame, terms: DataFrame, keys: Sequence[str] = ("id",), text: str = "text_norm") -> DataFrame:
+    """(keys, term): the distinct terms of a table that occur in each text, for vocabularies of any size.
+
+    The text is cut once into words and single other characters. Its runs of as
+    many tokens as terms have are looked up as whole texts: the work depends on
+    the text and on the number of different lengths, not on the number of terms,
+    and equality is exact. Only keys and runs of a few words take part in the
+    join, never the text; the staged vocabulary has a known size, so the planner
+    broadcasts a small one and filters the runs ahead of the shuffle by a large
+    one. A word of most texts meets a single term, which skew handling splits.
+    """
+    words = stage(vocabulary(terms), "vocabulary")
+    found = words.groupBy("length").agg(F.bool_or("begins_other").alias("b"), F.bool_or("ends_other").alias("e")).collect()  # one row for each length
+    if not found:
+        return texts.select(*keys, F.lit("").alias("term")).where(F.lit(False))
+    runs = token_runs(texts, keys, F.col(text), [Form(r["length"], r["b"], r["e"]) for r in found])
+    return runs.join(words.select("term"), "term").select(*keys, "term").distinct()

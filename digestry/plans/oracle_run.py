@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from digestry.plans.oracle import CHECKS, NOW, blank, case_list, check, shared, stamp, start
+from digestry.plans.oracle import CHECKS, NOW, blank, case_list, check, norm, shared, stamp, start
 from digestry.plans.roles import LABEL_IDS, MINIMUM_FINAL
 
 __all__ = ["CHECKS"]
@@ -83,3 +83,29 @@ UNION ALL SELECT 'report', '1', concat_ws(' ', count(*) FILTER (kind = 'paper'),
     (SELECT count(*) FROM u_pruned) + (SELECT count(*) FROM u_short WHERE row_key % 10 = 3)) FROM u_items
 UNION ALL SELECT 'warning', id, string_agg(warning, '; ' ORDER BY warning) FROM (
     SELECT id, warning FROM u_pruned UNION ALL SELECT row_key::VARCHAR, source_id || ': HTTP 503' FROM u_short WHERE row_key % 10 = 3) GROUP BY id""")
+
+WORD, SIGN = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+
+
+def cut(text: str) -> str:
+    return f"regexp_extract_all({text}, '{WORD}+|(?s:{SIGN})')"
+
+
+shared("u_big", f"""
+SELECT DISTINCT term FROM (
+  SELECT unnest(list_transform(range(1, len(w) + 1), lambda i: w[i])) AS term FROM (SELECT {cut(norm('text'))} AS w FROM benchmark)
+  UNION ALL SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || w[i + 1])) FROM (SELECT {cut(norm('text'))} AS w FROM benchmark)
+  UNION ALL SELECT unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || w[i + 1] || w[i + 2])) FROM (SELECT {cut(norm('text'))} AS w FROM benchmark))
+WHERE regexp_full_match(term, '{WORD}+|{WORD}+[^\\p{{L}}\\p{{N}}_\\s]|{WORD}+ {WORD}+')""".replace("\\\\", "\\"))
+# A term that ends in a sign does not match where a word follows at once.
+check("term_matches_large", f"""
+WITH tok AS (
+  SELECT kind, row_key, p, w[p] AS a, w[p + 1] AS b, w[p + 2] AS c FROM (
+    SELECT kind, row_key, w, unnest(range(1, len(w) + 1)) AS p FROM (SELECT kind, row_key, {cut('t')} AS w FROM r_text))),
+hit AS (
+  SELECT DISTINCT kind, row_key, term FROM (
+    SELECT kind, row_key, a AS term FROM tok
+    UNION ALL SELECT kind, row_key, a || b FROM tok WHERE b IS NOT NULL AND NOT (regexp_matches(b, '^{SIGN}') AND coalesce(regexp_matches(c, '^{WORD}'), false))
+    UNION ALL SELECT kind, row_key, a || b || c FROM tok WHERE c IS NOT NULL)
+  WHERE term IN (SELECT term FROM u_big))
+SELECT kind, row_key, count(*) AS n_terms, md5(string_agg(term, '|' ORDER BY encode(term))) AS terms_hash FROM hit GROUP BY kind, row_key""")

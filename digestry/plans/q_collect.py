@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from digestry.functions.identity import stable_id
-from digestry.functions.text import bounded_text
+from digestry.functions.text import bounded_text, normalize_title
 from digestry.functions.urls import normalize_url
 from digestry.operators import collect, history, prefilter, scoring, terms
 from digestry.operators.items import explode_labels
@@ -155,6 +155,23 @@ def term_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roles.annotated(spark, sf_dir).select("kind", "row_key", F.explode("hits").alias("term"))
 
 
+def large_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the benchmark, every word with the next one, and every word with the sign behind it."""
+    items = roles.table(spark, sf_dir, "benchmark")
+    runs = terms.token_runs(items, [], normalize_title(F.col("text")), [terms.Form(n, True) for n in (1, 2, 3)])
+    return runs.where(F.col("term").rlike(r"(?U)^(\w+|\w+[^\w\s]|\w+ \w+)$"))
+
+
+@query
+def term_matches_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of a table found in every candidate: how many, and a digest of them."""
+    text = terms.candidate_text(F.col("title"), F.col("excerpt"), F.col("categories"))
+    texts = roles.candidates(spark, sf_dir).select("kind", "row_key", text.alias("text_norm"))
+    found = terms.match_terms(texts, large_vocabulary(spark, sf_dir), ["kind", "row_key"])
+    listed = F.array_join(F.array_sort(F.collect_list("term")), "|")
+    return found.groupBy("kind", "row_key").agg(F.count("*").alias("n_terms"), F.md5(listed).alias("terms_hash"))
+
+
 @query
 def term_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = F.col("hits")

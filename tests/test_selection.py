@@ -53,7 +53,7 @@ def test_both_matchers_agree_with_a_plain_search(spark):
     data = spark.createDataFrame(texts, "id bigint, text_norm string")
     want = {(i, t) for i, text in texts for t in brute(text, vocabulary)}
     inline = data.select("id", F.explode(terms.term_hits(F.col("text_norm"), vocabulary)).alias("term"))
-    joined = terms.match_terms_joined(data, spark.createDataFrame([(t,) for t in vocabulary], "term string"), salts=4)
+    joined = terms.match_terms(data, spark.createDataFrame([(t,) for t in vocabulary], "term string"))
     assert {tuple(r) for r in inline.collect()} == want
     rows = [tuple(r) for r in joined.collect()]
     assert set(rows) == want and len(rows) == len(want)
