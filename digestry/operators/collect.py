@@ -37,7 +37,7 @@ def check_state(states: DataFrame) -> DataFrame:
     return states.where(F.col("last_success_at").isNull())
 
 
-def in_window(published_at: Column, kind: Column, now: datetime, last_success_at: datetime | None) -> Column:
+def in_window(published_at: Column, kind: Column, now: datetime | Column, last_success_at: datetime | None) -> Column:
     """Inclusive on both ends. Written per kind with constants so that it can be pushed into the scan."""
     until = F.lit(now).cast("timestamp")
     last = F.lit(last_success_at).cast("timestamp")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,8 @@ NARROW = ("row_key", "kind", "id", "source_id", "title", "url", "published_at",
 
 
 def annotate(
-    candidates: DataFrame, taxonomy: Taxonomy, settings: Settings, now: datetime, max_source_weight: float = 1.0
+    candidates: DataFrame, taxonomy: Taxonomy, settings: Settings, now: datetime | Column, max_source_weight: float = 1.0,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Everything that needs the text, computed in the scan stage; the text itself is dropped here.
 
@@ -30,6 +32,7 @@ def annotate(
     hits = compute_once(texts, hits=term_hits(F.col("_text"), taxonomy.all_terms()))
     scored = hits.select(
         *NARROW,
+        *keep,
         "hits",
         collection_gate(F.col("hits"), taxonomy).alias("has_evidence"),
         metadata_score(

@@ -33,7 +33,7 @@ def recency(kind: Column, published_at: Column, now: Column) -> Column:
 
 
 def metadata_score(
-    kind: Column, hits: Column, source_weight: Column, published_at: Column, now: datetime,
+    kind: Column, hits: Column, source_weight: Column, published_at: Column, now: datetime | Column,
     taxonomy: Taxonomy, weights: MetadataWeights, max_source_weight: float, in_history: Column | None = None,
 ) -> Column:
     """Six weighted parts. Novelty is one unless the caller still has history rows in the frame."""

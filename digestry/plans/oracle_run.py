@@ -109,3 +109,27 @@ hit AS (
     UNION ALL SELECT kind, row_key, a || b || c FROM tok WHERE c IS NOT NULL)
   WHERE term IN (SELECT term FROM u_big))
 SELECT kind, row_key, count(*) AS n_terms, md5(string_agg(term, '|' ORDER BY encode(term))) AS terms_hash FROM hit GROUP BY kind, row_key""")
+
+# --- many micro-batches -----------------------------------------------------------------------------
+shared("u_first", """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY arrival) AS nth FROM (
+  SELECT *, TIMESTAMP '2024-01-31' + to_days((arrival * 4)::INT) + to_hours(row_key % 2 * 20) AS arrived_at,
+         row_number() OVER (PARTITION BY id, arrival ORDER BY source_weight DESC, published_at DESC, source_id, row_key) AS best
+  FROM (SELECT *, row_key % 5 AS arrival FROM r_cand)) WHERE best = 1) WHERE nth = 1""")
+check("stream_ingest", f"SELECT id, kind, row_key, {stamp('arrived_at')} AS arrived FROM u_first")
+check("stream_daily_digest", """
+WITH scored AS (
+  SELECT f.id, f.kind, f.source_id, f.published_at, (f.arrived_at + INTERVAL 8 HOUR)::DATE AS digest_date,
+         0.30::DOUBLE * s.topic + 0.25::DOUBLE * s.scenario + 0.15::DOUBLE * greatest(0::DOUBLE, least(1::DOUBLE, f.source_weight)) + 0.15::DOUBLE
+         + 0.10::DOUBLE * least(1::DOUBLE, (s.topic + s.scenario) / 2.0::DOUBLE)
+         + 0.05::DOUBLE * greatest(0::DOUBLE, least(1::DOUBLE, 1.0::DOUBLE
+             - (greatest(0, epoch_us(f.arrived_at) - epoch_us(f.published_at))::DOUBLE / 86400000000.0::DOUBLE)
+               / CASE WHEN f.kind = 'blog' THEN 1095.0::DOUBLE ELSE 1825.0::DOUBLE END)) AS metadata_score
+  FROM u_first f JOIN r_score s USING (kind, row_key)
+  WHERE s.evidence > 0 AND f.published_at BETWEEN f.arrived_at - CASE WHEN f.kind = 'paper' THEN INTERVAL 5 YEAR ELSE INTERVAL 3 YEAR END AND f.arrived_at)
+SELECT strftime(digest_date, '%Y-%m-%d') AS digest_date, kind, id, rank, round(metadata_score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY digest_date, kind ORDER BY metadata_score DESC, published_at DESC, source_id, id) AS rank FROM scored)
+WHERE rank <= 10""")
+check("stream_open_days", """
+SELECT strftime(d, '%Y-%m-%d') AS business_date, event_type, count(*) AS n
+FROM (SELECT (ts + INTERVAL 8 HOUR)::DATE AS d, event_type FROM events) GROUP BY ALL""")

@@ -9,8 +9,9 @@ from digestry.functions.identity import stable_id
 from digestry.plans import roles
 from digestry.plans.catalog import query
 from digestry.plans.roles import NOW, SETTINGS, TAXONOMY
-from digestry.session import scratch_path
-from digestry.streaming import ingest
+from digestry.operators.collect import dedupe_collected
+from digestry.session import scratch_path, stage
+from digestry.streaming import daily, ingest
 from digestry.streaming.digest import digest_step, latest_state
 
 
@@ -56,3 +57,57 @@ def stream_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-digest")
     ingest.run_batches(paper_stream(spark, sf_dir), "digest", digest_step(root, TAXONOMY, SETTINGS, NOW))
     return latest_state(spark, root)
+
+
+ARRIVALS = 5
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candidates as a stream of files, arrivals four days apart; ids repeat between arrivals, and two of them may share a batch."""
+    folder = scratch_path(spark, "arrivals")
+    key = F.col("row_key")
+    rows = roles.candidates(spark, sf_dir).withColumn("arrival", key % ARRIVALS)
+    at = F.lit(NOW).cast("timestamp") + F.make_interval(days=(F.col("arrival") * 4).cast("int"), hours=(key % 2 * 20).cast("int"))
+    texts = stage(rows, "arriving")
+    for number in range(ARRIVALS):
+        collected = dedupe_collected(texts.where(F.col("arrival") == number)).withColumn("arrived_at", at).drop("arrival")
+        collected.write.parquet(f"{folder}/arrival={number}")
+    schema = spark.read.parquet(f"{folder}/arrival=0").schema
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 3).parquet(folder)
+
+
+@query
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First arrival of every id over many micro-batches: keyed state for rows delivered again, accepted ids for repeats."""
+    root = scratch_path(spark, "accepted")
+    stream = daily.delivered_once(arrivals(spark, sf_dir).select("id", "kind", "row_key", "arrived_at"))
+    ingest.run_batches(stream, "ingest", daily.ingest_step(root, [F.col("arrived_at")]))
+    return daily.batches_before(spark, root).select("id", "kind", "row_key", roles.stamp(F.col("arrived_at")).alias("arrived"))
+
+
+@query
+def stream_daily_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best of each day of arrival and kind, kept as state from batch to batch."""
+    root = scratch_path(spark, "daily-digest")
+    stream = daily.delivered_once(arrivals(spark, sf_dir))
+    ids, digest = daily.ingest_step(f"{root}/accepted", [F.col("arrived_at")]), daily.daily_digest_step(f"{root}/digest", TAXONOMY, SETTINGS)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        ids(batch, batch_id)
+        digest(spark.read.parquet(f"{root}/accepted/version={batch_id}"), batch_id)
+
+    ingest.run_batches(stream, "daily-digest", step)
+    entries = daily.newest(spark, f"{root}/digest", daily.DIGEST_KEYS)
+    return entries.select(
+        roles.day(F.col("digest_date")).alias("digest_date"), "kind", "id", F.col("rank").cast("bigint").alias("rank"), F.round("metadata_score", 6).alias("score")
+    )
+
+
+@query
+def stream_open_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per business day and type with the days that are still open: a day's rows are replaced as it grows."""
+    root = scratch_path(spark, "open-days")
+    events = ingest.read_files(spark, sf_dir, "events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    ingest.run_batches(ingest.daily_counts(events, "ts", "event_type"), "open-days", daily.open_days_step(root), mode="update")
+    days = daily.newest(spark, root, ["business_date", "event_type"])
+    return days.withColumn("business_date", roles.day(F.col("business_date")))

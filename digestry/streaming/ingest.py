@@ -59,10 +59,11 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFram
     return spark.read.schema(stream.schema).parquet(sink)
 
 
-def run_batches(stream: DataFrame, name: str, step: Callable[[DataFrame, int], None]) -> None:
+def run_batches(stream: DataFrame, name: str, step: Callable[[DataFrame, int], None], mode: str = "append") -> None:
     """Hand every micro-batch to `step`; a batch may come again after a failure, so `step` must overwrite by batch id."""
     query = (
-        stream.writeStream.option("checkpointLocation", scratch_path(stream.sparkSession, f"{name}-checkpoint"))
+        stream.writeStream.outputMode(mode)
+        .option("checkpointLocation", scratch_path(stream.sparkSession, f"{name}-checkpoint"))
         .foreachBatch(step)
         .trigger(availableNow=True)
         .start()

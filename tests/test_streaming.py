@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from digestry.config import Label, Settings, Taxonomy
-from digestry.streaming import ingest
+from digestry.streaming import daily, ingest
 from digestry.streaming.digest import digest_step, latest_state
 from tests.test_selection import candidate, COLUMNS
 
@@ -69,3 +69,69 @@ def test_shared_folder_comes_from_the_session(spark):
     assert spark.conf.get(CHECKPOINT_CONF) == folder and scratch_path(spark, "x").startswith(folder)
     staged = stage(spark.range(5).where(F.col("id") > 1), "t")
     assert staged.count() == 3
+
+
+ARRIVING = COLUMNS + ", arrived_at timestamp"
+ZERO = datetime(2026, 8, 1)
+
+
+def arriving(number, per_day=7):
+    """Candidates of several days; every third one comes again two and ten days later under the same id."""
+    rows = []
+    for day in range(12):
+        for i in range(per_day):
+            k = day * per_day + i
+            rows.append((*candidate(k), ZERO + timedelta(days=day, hours=10)))
+            if k % 3 == 0:
+                rows += [(*candidate(k), ZERO + timedelta(days=day + later, hours=11)) for later in (2, 10)]
+    rows.sort(key=lambda r: r[-1])
+    return [rows[i : i + number] for i in range(0, len(rows), number)]
+
+
+def run_days(spark, folder, batches):
+    root = f"{folder}/out"
+    stream = daily.delivered_once(files(spark, folder / "in", batches, ARRIVING))
+    ids = daily.ingest_step(f"{root}/accepted", [F.col("arrived_at")])
+    digest = daily.daily_digest_step(f"{root}/digest", TAXONOMY, Settings(daily_target=3))
+
+    def step(batch, batch_id):
+        for _ in range(2):  # as after a failure
+            ids(batch, batch_id)
+            digest(spark.read.parquet(f"{root}/accepted/version={batch_id}"), batch_id)
+
+    ingest.run_batches(stream, "t-days", step)
+    accepted = sorted((r["id"], str(r["arrived_at"])) for r in daily.batches_before(spark, f"{root}/accepted").collect())
+    entries = sorted((str(r["digest_date"]), r["kind"], r["rank"], r["id"]) for r in daily.newest(spark, f"{root}/digest", daily.DIGEST_KEYS).collect())
+    return accepted, entries
+
+
+def test_digests_do_not_depend_on_how_rows_are_cut(spark, tmp_path):
+    whole = arriving(1000)
+    first = {}
+    for row in whole[0]:
+        first.setdefault(row[3], row[-1])
+    results = [run_days(spark, tmp_path / str(number), arriving(number)) for number in (1000, 30)]
+    assert results[0] == results[1]
+    accepted, entries = results[0]
+    assert accepted == sorted((i, str(at)) for i, at in first.items())
+    per_day = {}
+    for day, kind, rank, _ in entries:
+        per_day.setdefault((day, kind), []).append(rank)
+    assert all(ranks == list(range(1, len(ranks) + 1)) and len(ranks) <= 3 for ranks in per_day.values()) and max(map(len, per_day.values())) == 3
+
+
+def test_open_days_are_replaced(spark, tmp_path):
+    batches = [[("x", ZERO)], [("x", ZERO + timedelta(hours=1)), ("x", ZERO + timedelta(days=1))], [("y", ZERO + timedelta(days=1))]]
+    stream = files(spark, tmp_path / "in", batches, "g string, ts timestamp")
+    root = f"{tmp_path}/days"
+    ingest.run_batches(ingest.daily_counts(stream, "ts", "g"), "t-open", daily.open_days_step(root), mode="update")
+    got = sorted((str(r["business_date"]), r["g"], r["n"]) for r in daily.newest(spark, root, ["business_date", "g"]).collect())
+    assert got == [("2026-08-01", "x", 2), ("2026-08-02", "x", 1), ("2026-08-02", "y", 1)]
+
+
+def test_an_unfinished_batch_is_not_read(spark, tmp_path):
+    daily.write_batch(spark.createDataFrame([("a",)], "id string"), str(tmp_path), 0)
+    (tmp_path / "version=1").mkdir()
+    spark.createDataFrame([("b",)], "id string").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").mode("overwrite").parquet(f"{tmp_path}/version=1")
+    assert [r["id"] for r in daily.batches_before(spark, str(tmp_path)).collect()] == ["a"]
+    assert daily.batches_before(spark, str(tmp_path), 0) is None
