@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from digestry.plans.oracle import CHECKS, NOW, blank, case_list, check, norm, shared, stamp, start
+from digestry.plans.oracle import CHECKS, NOW, blank, case_list, check, collapse, norm, shared, short_hash, stamp, start
 from digestry.plans.roles import LABEL_IDS, MINIMUM_FINAL
 
 __all__ = ["CHECKS"]
@@ -133,3 +133,19 @@ WHERE rank <= 10""")
 check("stream_open_days", """
 SELECT strftime(d, '%Y-%m-%d') AS business_date, event_type, count(*) AS n
 FROM (SELECT (ts + INTERVAL 8 HOUR)::DATE AS d, event_type FROM events) GROUP BY ALL""")
+
+# --- odd feeds --------------------------------------------------------------------------------------
+shared("u_odd", f"""
+SELECT *, row_key % 8 AS sort, row_key // 10 AS feed, {collapse('title')} AS line, row_key // 10 % 7 = 3 AS cut FROM r_cand WHERE kind = 'paper'""")
+check("feed_odd_scan", f"""
+SELECT 'url-' || {short_hash("'https://odd.example.org/p/' || row_key")} AS id, line AS title, 'https://odd.example.org/p/' || row_key AS url,
+       {stamp('published_at')} AS published, md5(trim(substr({collapse('excerpt')}, 1, 4000))) AS excerpt_hash
+FROM u_odd WHERE NOT cut AND line <> '' AND sort NOT IN (3, 4, 5, 7)""")
+check("feed_errors", """
+WITH found AS (
+  SELECT feed, CASE WHEN sort = 4 OR line = '' THEN 'no_title' WHEN sort = 5 THEN 'no_date' WHEN sort = 3 THEN 'unreadable_date' WHEN sort = 7 THEN 'no_address' END AS code
+  FROM u_odd WHERE NOT cut
+  UNION ALL SELECT DISTINCT feed, 'malformed_feed' FROM u_odd WHERE cut)
+SELECT 'feed' || feed AS source_id, code, CASE WHEN code = 'malformed_feed' AND feed % 2 = 0 THEN 'error' ELSE 'warning' END AS severity, count(*) AS n
+FROM found WHERE code IS NOT NULL AND feed % 11 <> 5 GROUP BY ALL
+UNION ALL SELECT 'gone', 'no_feed', 'error', 1""")

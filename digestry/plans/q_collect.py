@@ -14,7 +14,7 @@ from digestry.config import source_frame
 from digestry.plans import roles
 from digestry.plans.catalog import query
 from digestry.plans.roles import NOW, SETTINGS, TAXONOMY, joined, stamp
-from digestry.session import scratch_path
+from digestry.session import scratch_path, stage
 from digestry.sources import feeds, store
 
 
@@ -270,3 +270,48 @@ def feed_rss_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+
+def odd_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as RSS of eight sorts: foreign elements, mail dates with zone names, no link, no date; every seventh feed is cut off."""
+    key = F.col("row_key")
+    sort, address = key % 8, F.concat(F.lit("https://odd.example.org/p/"), key.cast("string"))
+    local = F.col("published_at") - F.make_interval(hours=F.lit(5))
+    east = F.col("published_at") + F.make_interval(hours=F.lit(8))
+
+    def element(name: str, value) -> object:
+        return F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
+
+    date = (
+        F.when(sort == 1, element("pubDate", F.concat(F.date_format(local, "EEE, dd MMM yy HH:mm"), F.lit(" EST"))))
+        .when(sort == 3, element("pubDate", F.lit("some day")))
+        .when(sort == 5, F.lit(""))
+        .when(sort == 6, element("d:date", F.concat(F.date_format(east, "yyyy-MM-dd'T'HH:mm"), F.lit("+08:00"))))
+        .otherwise(element("pubDate", F.concat(F.date_format("published_at", "dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))))
+    )
+    link = F.when((sort == 2) | (sort == 7), F.lit("")).otherwise(element("link", address))
+    guid = element("guid", F.when(sort == 2, address).otherwise(F.concat(F.lit("g"), key.cast("string"))))
+    title = element("title", F.when(sort == 4, F.lit(" ")).otherwise(_xml(_xml(F.col("title")))))
+    foreign = F.lit("<media:title>foreign</media:title><media:link>https://foreign.example.org</media:link><media:description>foreign</media:description>")
+    entry = F.concat(F.lit("<item>"), foreign, title, link, guid, date, element("description", _xml(_xml(F.col("excerpt")))), foreign, F.lit("</item>"))
+    head = "<rss version='2.0' xmlns:media='urn:media' xmlns:d='http://purl.org/dc/elements/1.1/'><channel>"
+    whole = _payloads(roles.paper_candidates(spark, sf_dir), entry, head, "</channel></rss>", 10)
+    number = F.substring("source_id", 5, 9).cast("int")
+    return whole.withColumn("payload", F.when(number % 7 == 3, F.substring("payload", 1, 150)).otherwise(F.col("payload")))
+
+
+@query
+def feed_odd_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = feeds.scan_blog_feed(odd_feeds(spark, sf_dir), SETTINGS.max_excerpt_chars)
+    return rows.select("id", "title", "url", stamp(F.col("published_at")).alias("published"), F.md5("excerpt").alias("excerpt_hash"))
+
+
+@query
+def feed_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead sources and dropped entries of a collection run; one required source has no feed at all."""
+    given = stage(odd_feeds(spark, sf_dir), "payloads")
+    number = F.substring("source_id", 5, 9).cast("int")
+    known = given.select("source_id", (number % 2 == 0).alias("required"), (number % 11 != 5).alias("enabled"))
+    gone = spark.createDataFrame([("gone", True, True)], known.schema)
+    _, errors = feeds.scan_blog_feed(given, SETTINGS.max_excerpt_chars)
+    return feeds.source_errors(errors, given, known.unionByName(gone))
