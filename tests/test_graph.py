@@ -1,8 +1,9 @@
-"""Graph questions on an eight-node graph, and related items against brute force."""
+"""Graph questions and related items against brute force."""
 
 from __future__ import annotations
 
 import random
+import unicodedata
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -19,86 +20,110 @@ def moment(text):
     return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
 
 
+WORDS = ("tide", "lamp", "ｒｏｐｅ", "灯塔", "Knot", "gull")
+TODAY = moment("2026-08-15")
+
+
 @pytest.fixture(scope="module")
-def golden(spark):
-    rows = [
-        ("paper-a", "Ｇｒａｐｈ Ranking", "paper", moment("2026-08-14"), ["user", "ranking"], ["图排序", "Graph Ranking"], 4),
-        ("article-b", "Ranking in Production", "article", moment("2026-07-20"), ["room", "ranking"], ["线上排序"], 2),
-        ("paper-c", "Graph Retrieval", "paper", moment("2025-02-01"), ["user", "retrieval"], ["图召回"], 1),
-        ("target:user", "用户推荐 / User Recommendation", "target", None, None, ["user", "用户推荐", "User Recommendation"], 2),
-        ("target:room", "房间推荐 / Room Recommendation", "target", None, None, ["room", "房间推荐", "Room Recommendation"], 1),
-        ("task:ranking", "排序 / Ranking", "task", None, None, ["ranking", "排序"], 2),
-        ("task:retrieval", "召回 / Retrieval", "task", None, None, ["retrieval", "召回"], 1),
-        ("method:isolated", "孤立方法 / Isolated", "method", None, None, None, 1),
-    ]
-    nodes = spark.createDataFrame([(*row, place) for place, row in enumerate(rows)], NODE)
-    pairs = [("paper-a", "target:user"), ("paper-a", "task:ranking"), ("article-b", "target:room"), ("article-b", "task:ranking"), ("paper-c", "target:user"), ("paper-c", "task:retrieval")]
-    edges = [(f"taxonomy:{s}|{t}", s, t, t.split(":")[0], 1.0, "fixture", "topics.yaml") for s, t in pairs]
-    edges.append(("relation:paper-a|article-b|supports", "paper-a", "article-b", "supports", 0.9, "fixture", "model"))
-    return nodes, spark.createDataFrame(edges, EDGE)
+def coast(spark):
+    """Twenty logs and six labels with random edges; one label and some logs stay alone. Also as plain rows for brute force."""
+    rng = random.Random(41)
+    labels = [f"{kind}:{name}" for kind, name in (("target", "pier"), ("target", "cove"), ("task", "mend"), ("task", "sail"), ("method", "chart"), ("method", "lost"))]
+    nodes, edges = [], []
+    for k in range(20):
+        tags = rng.sample([x.split(":")[1] for x in labels[:-1]], rng.randint(0, 3))
+        title = " ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 3)))
+        at = TODAY - timedelta(days=rng.choice([0, 7, 8, 29, 31, 364, 400, 900])) if k % 7 else None
+        nodes.append((f"log-{k}", title, rng.choice(["paper", "article"]), at, tags, [f"log {k}", rng.choice(WORDS)], 1 + k % 3))
+        edges += [(f"taxonomy:log-{k}|{x}", f"log-{k}", x, x.split(":")[0]) for x in labels if x.split(":")[1] in tags]
+    nodes += [(x, f"{x.split(':')[1]} / {rng.choice(WORDS)}", x.split(":")[0], None, None, [x.split(":")[1]], 1) for x in labels]
+    links = {tuple(rng.sample(range(20), 2)) for _ in range(12)}
+    edges += [(f"relation:log-{i}|log-{j}|near", f"log-{i}", f"log-{j}", "near") for i, j in sorted(links)]
+    node_frame = spark.createDataFrame([(*row, place) for place, row in enumerate(nodes)], NODE)
+    return node_frame, spark.createDataFrame([(*e, 1.0, "seen", "model") for e in edges], EDGE), nodes, edges
 
 
-def ids(frame):
-    return {r["id"] for r in frame.collect()}
+def is_log(name):
+    return name.startswith("log-")
 
 
-def test_adjacency_includes_isolated_nodes(golden):
-    near = {r["id"]: r["neighbors"] for r in graph.adjacency(*golden).collect()}
-    assert near["paper-a"] == ["article-b", "target:user", "task:ranking"]
-    assert "paper-a" in near["target:user"] and near["method:isolated"] == []
+def plain_neighbors(edges, name):
+    return {t for _, s, t, _ in edges if s == name} | {s for _, s, t, _ in edges if t == name}
 
 
-def test_filters_or_inside_and_across(golden):
-    nodes, edges = golden
-    kept, between = graph.subgraph(nodes, edges, graph.content_matching(nodes, {"targets": ["user", "room"], "tasks": ["ranking"]}))
-    assert ids(kept) == {"paper-a", "article-b", "target:user", "target:room", "task:ranking"}
-    assert "relation:paper-a|article-b|supports" in ids(between) and not any("retrieval" in i for i in ids(between))
+def within(edges, names):
+    return {i for i, s, t, _ in edges if s in names and t in names}
 
 
-def test_time_filters(golden, now):
-    nodes, edges = golden
-    recent = graph.subgraph(nodes, edges, graph.content_matching(nodes, year="2026", age="7d", now=now))[0]
-    assert ids(recent) == {"paper-a", "target:user", "task:ranking"}
-    month = graph.subgraph(nodes, edges, graph.content_matching(nodes, age="30d", now=now))[0]
-    assert ids(month) == {"paper-a", "article-b", "target:user", "target:room", "task:ranking"}
+def ids(frame):
+    return {r["id"] for r in frame.collect()}
 
 
-def test_type_toggles(golden):
-    kept, between = graph.filter_types(*golden, ["article", "task"])
-    assert ids(kept) == {"article-b", "task:ranking"} and ids(between) == {"taxonomy:article-b|task:ranking"}
-    kept, between = graph.filter_types(*golden, ["paper", "method"])
-    assert ids(kept) == {"paper-a", "paper-c"} and ids(between) == set()
+def test_adjacency_includes_isolated_nodes(coast):
+    near = {r["id"]: r["neighbors"] for r in graph.adjacency(*coast[:2]).collect()}
+    assert near == {n[0]: sorted(plain_neighbors(coast[3], n[0])) for n in coast[2]} and near["method:lost"] == []
 
 
-def test_neighborhoods_of_many_centres(spark, golden):
-    nodes, edges = golden
-    centers = spark.createDataFrame([("paper-a",), ("task:ranking",), ("missing",)], "center string")
-    near, inner = graph.neighborhoods(nodes, edges, centers)
-    by_center = {}
+@pytest.mark.parametrize(
+    ("groups", "year", "age", "days"),
+    [({"targets": ["pier", "cove"], "tasks": ["mend"]}, None, None, None), ({"methods": ["chart"], "tasks": []}, "2026", None, None), ({}, None, "7d", 7), ({}, "2025", "365d", 365), ({"targets": ["cove"]}, None, "30d", 30)],
+)
+def test_subgraphs(coast, groups, year, age, days):
+    nodes, edges, plain, links = coast
+
+    def fits(node):
+        _, _, _, at, tags, *_ = node
+        timed = (not year and not days) or (at is not None and (not year or at.year == int(year)) and (not days or TODAY - at <= timedelta(days=days)))
+        return is_log(node[0]) and timed and all(not v or set(v) & set(tags) for v in groups.values())
+
+    logs = {n[0] for n in plain if fits(n)}
+    want = logs | {x for name in logs for x in plain_neighbors(links, name) if not is_log(x)}
+    kept, between = graph.subgraph(nodes, edges, graph.content_matching(nodes, groups, year, age, TODAY))
+    assert ids(kept) == want and ids(between) == within(links, want)
+    assert logs
+
+
+@pytest.mark.parametrize("types", [["article", "task"], ["paper", "method"], ["target"], []])
+def test_type_toggles(coast, types):
+    nodes, edges, plain, links = coast
+    chosen = {n[0] for n in plain if n[2] in types}
+    inside = within(links, chosen)
+    ends = {x for i, s, t, _ in links if i in inside for x in (s, t)}
+    kept, between = graph.filter_types(nodes, edges, types)
+    assert ids(between) == inside and ids(kept) == {name for name in chosen if is_log(name) or name in ends}
+
+
+def test_neighborhoods_of_many_centres(spark, coast):
+    nodes, edges, plain, links = coast
+    wanted = ["log-1", "log-4", "target:pier", "method:lost", "nowhere"]
+    near, inner = graph.neighborhoods(nodes, edges, spark.createDataFrame([(c,) for c in wanted], "center string"))
+    want = {c: {c} | plain_neighbors(links, c) for c in wanted[:-1]}
+    got = {}
     for row in near.collect():
-        by_center.setdefault(row["center"], set()).add(row["id"])
-    assert by_center == {"paper-a": {"paper-a", "article-b", "target:user", "task:ranking"}, "task:ranking": {"paper-a", "article-b", "task:ranking"}}
-    counts = {r["center"]: r["count"] for r in inner.groupBy("center").count().collect()}
-    assert counts == {"paper-a": 4, "task:ranking": 3}
-    assert ids(graph.content_centers(nodes).withColumnRenamed("center", "id")) == {"paper-a", "article-b", "paper-c"}
-
+        got.setdefault(row["center"], set()).add(row["id"])
+    assert got == want
+    assert {(r["center"], r["id"]) for r in inner.collect()} == {(c, i) for c, names in want.items() for i in within(links, names)}
+    assert ids(graph.content_centers(nodes).withColumnRenamed("center", "id")) == {n[0] for n in plain if is_log(n[0])}
 
-def test_search_buckets_and_order(golden):
-    nodes, _ = golden
 
-    def found(query):
-        return [r["id"] for r in graph.search_nodes(nodes, query).collect()]
+@pytest.mark.parametrize("query", ["  TIDE   ", "rope", "灯塔 lamp", "pier", "log 7", "Ｋnot gull", "absent", "  "])
+def test_search_buckets_and_order(coast, query):
+    def form(text):
+        return " ".join(unicodedata.normalize("NFKC", text).lower().split())
 
-    assert found("  GRAPH   ") == ["paper-a", "paper-c"]
-    assert found("ｕｓｅｒ recommendation") == ["target:user"]
-    assert found("ranking") == ["task:ranking", "article-b", "paper-a"]
-    assert found("  ") == []
+    wanted, scored = form(query), []
+    for place, (name, label, _, _, tags, terms, _) in enumerate(coast[2]):
+        hay = form(" ".join([name, label, *(terms or tags)]))
+        if wanted and all(term in hay for term in wanted.split(" ")):
+            exact = wanted in (form(name), form(label), *map(form, terms or tags))
+            prefix = form(name).startswith(wanted) or form(label).startswith(wanted)
+            scored.append((-3 if exact else -2 if prefix else -1, place, name))
+    assert [r["id"] for r in graph.search_nodes(coast[0], query).collect()] == [name for *_, name in sorted(scored)]
 
 
-def test_invariants(golden):
-    nodes, edges = golden
-    got = {(r["id"], r["rule"]) for r in graph.violations(nodes, edges, 2).collect()}
-    assert got == {("method:isolated", "isolated_label"), ("3", "too_many_nodes")}
+def test_invariants(coast):
+    got = {(r["id"], r["rule"]) for r in graph.violations(*coast[:2], 19).collect()}
+    assert got == {("method:lost", "isolated_label"), ("20", "too_many_nodes")}
 
 
 TAXONOMY = Taxonomy((Label("targets", "user", "用户", "User", ()), Label("tasks", "ranking", "排序", "Ranking", ())))
@@ -162,16 +187,15 @@ def test_related_items_are_exact(spark, max_listed):
     assert got == brute_related(rows, 4)
 
 
-DOCUMENT = ("a", "paper", "Graph Ranking for Large-Scale Recommendation", "面向直播间的图排序方法。", moment("2026-08-12"), 0.5, 0.5, moment("2026-08-14").date(), ["room"], [], [], ["gnn"])
+DOCUMENT = ("a", "paper", "Lanterns on a Quiet Coast", "海边灯火的记录。", moment("2025-03-02"), 0.5, 0.5, moment("2025-03-09").date(), ["pier"], [], [], ["chart"])
 
 
 @pytest.mark.parametrize(
     "query, hit",
-    [("GRAPH 直播间", True), ("graph 博客", False), ("   ", True), ("论文 2026-08-14 2026-08-12", True), ("工程博客", False),
-     ("gnn 房间推荐", True), ("room recommendation", True), ("图神经网络", True), ("  图排序   ＲＯＯＭ  ", True)],
+    [("QUIET 灯火", True), ("quiet 博客", False), ("   ", True), ("论文 2025-03-09 2025-03-02", True), ("工程博客", False), ("chart 码头", True), ("long pier", True), ("海图", True), ("  灯火   ＰＩＥＲ  ", True)],
 )
 def test_archive_search(spark, query, hit):
-    taxonomy = Taxonomy((Label("targets", "room", "房间推荐", "Room Recommendation", ()), Label("methods", "gnn", "图神经网络", "Graph Neural Network", ())))
+    taxonomy = Taxonomy((Label("targets", "pier", "码头", "Long Pier", ()), Label("methods", "chart", "海图", "Sea Chart", ())))
     rows = spark.createDataFrame([DOCUMENT], ITEM)
     assert bool(search.archive_filter(rows, taxonomy, query, {}).count()) is hit
 
