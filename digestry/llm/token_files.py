@@ -58,14 +58,16 @@ class PieceEncoder:
     letter with a sign; only an apostrophe before certain letters does the latter,
     so texts with one are cut at white space alone, as are texts beyond Latin-1,
     where normalising could join signs. Words of letters go to the tokenizer many
-    at a time: each ends with the one id of its word that marks a word's end.
+    at a time: each ends with the one id of its word that marks a word's end. Texts
+    that hold an added token, such as the end-of-text mark, go to the tokenizer
+    whole, which gives that token its own id.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.kind = id_kind(self.tokenizer)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -101,9 +103,16 @@ class PieceEncoder:
             self.known[piece] = np.array(coded.ids, self.kind).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        listed = [self.pieces(text) for text in texts]
-        self.learn(listed)
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in listed]
+        listed = [None if self.has_added(text) else self.pieces(text) for text in texts]
+        self.learn([pieces for pieces in listed if pieces])
+        return [self.whole(text) if pieces is None else b"".join(map(self.known.__getitem__, pieces)) for text, pieces in zip(texts, listed, strict=True)]
+
+    def has_added(self, text: str) -> bool:
+        """Whether one of the vocabulary's added tokens stands in the text; the library finds those ahead of anything else."""
+        return any(token in text for token in self.added)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
 
 @lru_cache(maxsize=1)
