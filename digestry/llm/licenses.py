@@ -28,15 +28,25 @@ NOTICES = {
     "gnu lesser general public license": "lgpl",
     "gnu affero general public license": "agpl",
     "redistribution and use in source and binary forms": "bsd",
+    "released under the bsd license": "bsd",
+    "released under the isc license": "isc",
     "permission to use copy modify and or distribute this software for any purpose": "isc",
     "mozilla public license version 2 0": "mpl",
     "eclipse public license": "epl",
     "licensed under cc by": "cc-by",
+    "licensed under cc by sa": "cc-by-sa",
+    "licensed under cc by nd": "cc-by-nd",
     "licensed under cc by nc": "cc-by-nc",
+    "licensed under cc by nc sa": "cc-by-nc-sa",
+    "licensed under cc by nc nd": "cc-by-nc-nd",
     "creative commons attribution": "cc-by",
     "this is free and unencumbered software released into the public domain": "unlicense",
 }
 
+# Words that tell one license from another. A notice matches only where its own ones stand; a slip of one
+# letter is forgiven unless it makes the word of another license.
+NAMES = frozenset("mit apache gnu lesser affero bsd isc mozilla eclipse epl mpl gpl lgpl agpl cc by sa nd nc zlib unencumbered".split())
+
 
 @dataclass(frozen=True)
 class LicenseSettings:
@@ -49,6 +59,39 @@ def edits_for(notice: str, settings: LicenseSettings) -> int:
     return max(1, len(notice) // settings.per_edit)
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether two words are equal up to one inserted, dropped or changed letter."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    same = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return a[same + 1 :] == b[same + 1 :] or a[same + 1 :] == b[same:] or a[same:] == b[same + 1 :]
+
+
+def names_stand(notice: str, matched: str) -> bool:
+    """Whether the words that name the license stand in a matched text, in their order."""
+    own, words = [w for w in notice.split() if w in NAMES], iter(matched.split())
+    return all(any(w == name or (w not in NAMES and len(name) > 2 and one_edit(w, name)) for w in words) for name in own)
+
+
+def nearest_only(matches: list[dict]) -> list[dict]:
+    """Matches without those that overlap one of another license with fewer edits, or with as many and more text.
+
+    A pass in order of place: notices are short, so few are open at a time.
+    """
+    ordered = sorted(matches, key=lambda m: (m["start"], m["end"], m["notice"]))
+    beaten, open_ones = set(), []
+    for i, m in enumerate(ordered):
+        open_ones = [j for j in open_ones if ordered[j]["end"] > m["start"]]
+        for j in open_ones:
+            o = ordered[j]
+            if o["label"] != m["label"]:
+                rank = [(x["edits"], x["start"] - x["end"]) for x in (m, o)]
+                if rank[0] != rank[1]:
+                    beaten.add(i if rank[0] > rank[1] else j)
+        open_ones.append(i)
+    return [m for i, m in enumerate(ordered) if i not in beaten]
+
+
 def seeds_of(notice: str, edits: int) -> list[tuple[int, str]]:
     """(offset, piece): `edits` + 1 pieces, of which one at least stands unchanged in any match."""
     cuts = [round(k * len(notice) / (edits + 1)) for k in range(edits + 2)]
@@ -122,17 +165,24 @@ def verifier(settings: LicenseSettings):
             for notice, window in zip(batch.column("notice").to_pylist(), batch.column("window").to_pylist(), strict=True):
                 if notice not in patterns:
                     patterns[notice] = regex.compile(rf"(?b)(?<!\S)(?:{regex.escape(notice, special_only=True, literal_spaces=True)}){{e<={edits_for(notice, settings)}}}(?!\S)")
-                found.append([{"start": m.start(), "end": m.end(), "edits": sum(m.fuzzy_counts)} for m in patterns[notice].finditer(window)])
+                found.append([{"start": m.start(), "end": m.end(), "edits": sum(m.fuzzy_counts)} for m in patterns[notice].finditer(window) if names_stand(notice, m.group())])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("notice", "window")), pa.array(found, spans)], ["notice", "window", "matches"])
 
     return run
 
 
+def keep_nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kept = [nearest_only(matches) for matches in batch.column("matches").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, batch.column("matches").type)], ["row", "matches"])
+
+
 def find_licenses(docs: DataFrame, notices: dict[str, str] | None = None, settings: LicenseSettings | None = None) -> DataFrame:
     """One row for each document: n_words, base places (word, phrase) and matched notices.
 
     `matches` has notice, label, start, end (code points of the words joined by
-    single spaces) and edits. Candidate windows are verified once for each
+    single spaces) and edits. The words that name a license must stand in a match
+    (see NAMES), and of overlapping matches the nearer and longer notice counts. Candidate windows are verified once for each
     distinct pair of notice and window, so a notice that a third of the corpus
     carries costs one check, and long windows are spread over all tasks. Null
     texts are empty; equal rows give equal rows.
@@ -143,12 +193,16 @@ def find_licenses(docs: DataFrame, notices: dict[str, str] | None = None, settin
     rows = docs.select("doc_id", text_of().alias("text")).mapInArrow(seeker(notices, settings), schema)
     rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "seeds", compression="zstd")
     windows = rows.select("row", F.inline("windows"))
-    checked = windows.select("notice", "window").distinct().mapInArrow(verifier(settings), "notice string, window string, matches array<struct<start: long, end: long, edits: long>>")
+    # The check costs far more than its rows weigh, so they are dealt to as many tasks as a shuffle has, whatever their size.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = windows.select("notice", "window").distinct().repartition(parts, "notice", "window")
+    checked = distinct.mapInArrow(verifier(settings), "notice string, window string, matches array<struct<start: long, end: long, edits: long>>")
     checked = stage(checked.where(F.size("matches") > 0), "checked")
     label = F.element_at(F.create_map(*(F.lit(x) for pair in notices.items() for x in pair)), F.col("notice"))
     hits = windows.join(checked, ["notice", "window"]).select("row", "from_char", "notice", label.alias("label"), F.inline("matches"))
     hit = F.struct("notice", "label", (F.col("start") + F.col("from_char")).alias("start"), (F.col("end") + F.col("from_char")).alias("end"), "edits")
-    by_row = hits.groupBy("row").agg(F.array_sort(F.collect_set(hit)).alias("matches"))
+    by_row = hits.groupBy("row").agg(F.collect_set(hit).alias("matches"))
+    by_row = by_row.mapInArrow(keep_nearest, by_row.schema)
     return rows.drop("windows").join(by_row, "row", "left").drop("row")
 
 

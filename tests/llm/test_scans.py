@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import pytest
 
 from digestry.llm.credentials import credential_digest, credential_report, parts_of
-from digestry.llm.licenses import NOTICES, LicenseSettings, edits_for, find_licenses, license_digest, seeds_of
+from digestry.llm.licenses import NAMES, NOTICES, LicenseSettings, edits_for, find_licenses, license_digest, names_stand, nearest_only, one_edit, seeds_of
 from tests.llm.fixtures import documents, edge_rows, lowered_words, tuples
 
 ASSIGN = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -132,6 +133,41 @@ def test_edited_notices_are_found_and_spans_verified(spark):
             assert distance(joined[m["start"] : m["end"]], m["notice"]) <= m["edits"] <= edits_for(m["notice"], LicenseSettings())
 
 
+NEIGHBOURS = [
+    ("released under the BSD license", "bsd"), ("released under the ISC license", "isc"), ("released under the new license", ""), ("released under the zlib license", ""),
+    ("Licensed under CC BY 4.0", "cc-by"), ("Licensed under CC BY-SA 4.0", "cc-by-sa"), ("Licensed under CC BY-ND 4.0", "cc-by-nd"), ("Licensed under CC BY-NC 4.0", "cc-by-nc"),
+    ("Licensed under CC BY-NC-SA 4.0", "cc-by-nc-sa"), ("GNU Lesser General Public License", "gpl,lgpl"), ("licensed under the GNU General Public License", "gpl"), ("released under the MTI licence", ""),
+]
+
+
+def test_neighbouring_licenses_are_told_apart(spark):
+    got = {r["doc_id"]: r["labels"] for r in license_digest(documents(spark, [(i, f"this work is {t}, as said above") for i, (t, _) in enumerate(NEIGHBOURS)])).collect()}
+    assert [got[i] for i in range(len(NEIGHBOURS))] == [label for _, label in NEIGHBOURS]
+
+
+def test_planted_edits_are_all_found(spark):
+    """Up to the allowed number of letters changed, dropped or added, outside the words that name a license."""
+    draw, rows, want = random.Random(17), [], {}
+    for i in range(400):
+        notice = draw.choice(sorted(NOTICES))
+        words = notice.split()
+        for _ in range(draw.randint(0, edits_for(notice, LicenseSettings()))):
+            at = draw.choice([k for k, w in enumerate(words) if w not in NAMES and len(w) > 3])
+            cut, kind = draw.randint(1, len(words[at]) - 1), draw.randint(0, 2)
+            words[at] = words[at][:cut] + ("" if kind == 0 else "q") + words[at][cut + (kind < 2) :]
+        rows.append((i, f"harbour {' '.join(words)} harbour"))
+        want[i] = NOTICES[notice]
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in license_digest(documents(spark, rows)).collect()}
+    assert [i for i in want if want[i] not in got[i]] == []
+
+
+def test_names_and_nearest():
+    assert one_edit("mit", "mlt") and one_edit("mit", "mits") and one_edit("mit", "mi") and not one_edit("mit", "mti") and not one_edit("mit", "bit s")
+    assert names_stand("licensed under cc by nc", "licensd under cc by nc") and not names_stand("licensed under cc by nc", "licensed under cc by nd")
+    a, b, c = ({"start": s, "end": e, "edits": n, "label": x, "notice": x} for s, e, n, x in ((0, 10, 1, "a"), (5, 15, 0, "b"), (15, 20, 3, "c")))
+    assert nearest_only([a, b, c]) == [b, c] and nearest_only([a, c]) == [a, c] and nearest_only([a | {"edits": 0}, b]) == [a | {"edits": 0}, b]
+
+
 def test_seeds_cover_a_notice():
     for notice in NOTICES:
         for edits in (1, 3, 7):
