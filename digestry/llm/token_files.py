@@ -51,6 +51,14 @@ LETTER_RUNS = re.compile(r"[a-zªµºß-öø-ÿ]+|[^a-zªµºß-öø-ÿ\x20\x09-
 JOINED = 256
 
 
+def within_latin1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class PieceEncoder:
     """Ids of whole texts from the ids of their pieces, each piece encoded once.
 
@@ -68,6 +76,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added_start = os.path.commonprefix(self.added)
         vocabulary = self.tokenizer.get_vocab()
         self.kind = id_kind(self.tokenizer)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -76,7 +85,7 @@ class PieceEncoder:
         self.older: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
-        if "'" in text or (not text.isascii() and max(text) > "\xff"):
+        if "'" in text or not within_latin1(text):
             return PLAIN.findall(text)
         return LETTER_RUNS.findall(text.lower())
 
@@ -109,7 +118,7 @@ class PieceEncoder:
 
     def has_added(self, text: str) -> bool:
         """Whether one of the vocabulary's added tokens stands in the text; the library finds those ahead of anything else."""
-        return any(token in text for token in self.added)
+        return self.added_start in text and any(token in text for token in self.added)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
