@@ -8,19 +8,15 @@ from pyspark.sql import functions as F
 from digestry.llm.catalog import prepare, table, tokenizer_path
 from digestry.llm.decontaminate import drop_contaminated
 from digestry.llm.mixing import write_mix
-from digestry.llm.near_dups import SENT_IDS, NearSets, is_first, with_set_key
+from digestry.llm.near_dups import NearSets, is_first, with_set_key
 from digestry.llm.quality import quality_scores
 from digestry.llm.token_files import token_digest
 from digestry.session import scratch_path, stage
 
 
 def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
-    """`docs` without the doc_ids of `bad` (column gone).
-
-    Ids go to every task while they are few by count; beyond that the planner chooses.
-    """
+    """`docs` without the doc_ids of `bad` (column gone), which is written first, so that the planner joins by its real size."""
     bad = stage(bad, "gone")
-    bad = F.broadcast(bad) if bad.count() <= SENT_IDS else bad
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["gone"]), "left_anti")
 
 
