@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 # Runs of anything but ASCII white space.
 SPACED = r"[^\x20\x09-\x0D]+"
-# Runs of ASCII digits, lower-case ASCII letters and everything outside ASCII; for lowered texts.
-LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Runs of ASCII digits, lower-case ASCII letters and everything outside ASCII; for lowered texts. Java's negated classes
+# of several ranges cost about fourteen times as much as this one, which names the same code points.
+LETTERS = r"[a-z0-9\x{80}-\x{10FFFF}]+"
 
 
 def text_of(column: str | Column = "text") -> Column:

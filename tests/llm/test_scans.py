@@ -5,14 +5,22 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from digestry.llm.credentials import credential_digest, credential_report, parts_of
 from digestry.llm.licenses import NAMES, NOTICES, LicenseSettings, edits_for, find_licenses, license_digest, names_stand, nearest_only, one_edit, seeds_of
+from digestry.llm.texts import LETTERS, lower_ascii, words_of
 from tests.llm.fixtures import documents, edge_rows, lowered_words, tuples
 
 ASSIGN = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
+def test_words_of_lowered_texts_on_every_code_point(spark):
+    text = " ".join(f"a{chr(c)}z{chr(c)}" for c in [*range(1, 0xD800), *range(0xE000, 0x10000), 0x10000, 0x1F600, 0x10FFFF])
+    got = spark.createDataFrame([(text,)], "text string").select(words_of(lower_ascii(F.col("text")), LETTERS).alias("words")).first()["words"]
+    assert got == lowered_words(text)
+
+
 def base_spans(text):
     text = text or ""
     spans = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
