@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from digestry.llm.texts import LETTERS, lower_ascii, text_of, words_of
+from digestry.session import stage
 
 # Common words of English, French, German and Spanish.
 ANCHORS = (
@@ -69,27 +70,27 @@ def in_ranges(df: DataFrame, key: str, ranges: int) -> DataFrame:
     return df.withColumn("_part", F.size(F.filter(F.array(*(F.lit(b) for b in bounds)).cast("array<bigint>"), lambda b: b < F.col(key))))
 
 
-def with_next(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> DataFrame:
+def with_next(df: DataFrame, columns: Sequence[str], ranges: int | None = None, derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """Add next_<column> from the row that follows by ascending doc_id; the first follows the last.
 
     Rows go to ranges of doc_id, and each range also gets a copy of the first row
     of the range after it, so that a window inside the range sees every next row.
     Only the first ids of the ranges are known outside the tasks. Rows that share
-    a doc_id are ordered by a hash of their text.
+    a doc_id are ordered by a hash of their text. `derive` adds columns before
+    the window, once for each row and once for each copy.
     """
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = in_ranges(df.withColumn("_tie", F.xxhash64("text")), "doc_id", ranges).withColumn("_copy", F.lit(False))
     firsts = placed.groupBy("_part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("has"), F.col("doc_id"), F.col("_tie"))).alias("first"))
-    firsts = firsts.select("_part", "first.doc_id", "first._tie").orderBy("_part").collect()  # one row for each range
-    if not firsts:
-        return df.select("*", *(F.col(c).alias(f"next_{c}") for c in columns))
-    before = [(firsts[at - 1]["_part"], row["doc_id"], row["_tie"]) for at, row in enumerate(firsts)]
-    wanted = df.sparkSession.createDataFrame(before, f"_to int, _id {df.schema['doc_id'].dataType.simpleString()}, _own long")
+    firsts = stage(firsts.select("_part", F.col("first.doc_id").alias("_id"), F.col("first._tie").alias("_own")), "firsts")  # one row for each range
+    every = Window.orderBy("_part")
+    last = F.max("_part").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    wanted = firsts.select("_id", "_own", F.coalesce(F.lag("_part").over(every), last).alias("_to"))
     same = placed["doc_id"].eqNullSafe(wanted["_id"]) & (placed["_tie"] == wanted["_own"])
     # One row for each range; equal rows would be copied together, one is enough.
     copies = placed.join(F.broadcast(wanted), same).dropDuplicates(["_to"]).select(*df.columns, "_tie", F.col("_to").alias("_part"), F.lit(True).alias("_copy"))
+    both = derive(placed.select(*df.columns, "_tie", "_part", "_copy").unionByName(copies))
     order = Window.partitionBy("_part").orderBy("_copy", F.col("doc_id").asc_nulls_first(), "_tie")
-    both = placed.select(*df.columns, "_tie", "_part", "_copy").unionByName(copies)
     followed = both.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns))
     return followed.where("NOT _copy").drop("_tie", "_part", "_copy")
 
@@ -103,7 +104,7 @@ def fingerprint_digest(docs: DataFrame) -> DataFrame:
     each other; a single document follows itself.
     """
     rows = docs.select("doc_id", text_of().alias("text"))
-    own = with_next(with_spots(rows, "text", "spots"), ["text", "spots"])
+    own = with_next(rows, ["text", "spots"], derive=lambda df: with_spots(df, "text", "spots"))
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - quarter).cast("int")), F.substring(F.col("next_text"), F.lit(1), quarter))
     cut = own.withColumn("n_chars", F.length("text")).select("doc_id", "n_chars", "spots", "next_spots", edited.alias("edited"))
