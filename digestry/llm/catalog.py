@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from digestry.llm import sql
 
 # Texts go to Python in batches that fit beside each other in a worker.
-ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "32m"}
+ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

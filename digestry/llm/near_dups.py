@@ -20,8 +20,8 @@ from digestry.session import stage
 
 # Shingles of long texts meet the hash functions in pieces of this many.
 PIECE = 2048
-# Ids that may be sent to every executor: 8 bytes each, so some tens of MB.
-SENT_IDS = 2_000_000
+# Words of texts with as many bytes together are hashed at once.
+HASHED = 1 << 20
 # Members of a bucket that are compared with each other at once.
 BLOCK = 256
 
@@ -55,7 +55,18 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
     """Per text, the sorted distinct shingles as 64-bit hashes; A-Z lowered, words between ASCII white space."""
-    words = [text.encode().lower().split() for text in texts]
+    sets, words, size = [], [], 0
+    for text in texts:
+        lowered = text.encode().lower()
+        words.append(lowered.split())
+        size += len(lowered)
+        if size > HASHED:
+            sets += hashed_sets(words, width)
+            words, size = [], 0
+    return sets + hashed_sets(words, width)
+
+
+def hashed_sets(words: list[list[bytes]], width: int) -> list[np.ndarray]:
     flat = [w for each in words for w in each]
     hashes = pd.util.hash_array(np.array(flat, dtype=object), categorize=False) if flat else np.zeros(0, np.uint64)
     sets, at = [], 0
@@ -259,9 +270,8 @@ class NearSets:
         alive = stage(one_way(pairs), "alive")
         wanted = alive.select(F.col("a").alias("node")).unionByName(alive.select(F.col("b").alias("node"))).distinct()
         wanted = stage(wanted.join(self.nodes.select("node", "key", "doc"), "node"), "wanted")
-        # Texts stay where they are as long as the ids are few; otherwise the planner chooses.
-        ids = wanted.select("doc").distinct()
-        ids = F.broadcast(ids) if wanted.count() <= SENT_IDS else ids
+        # Written, so that the planner joins by its real size.
+        ids = stage(wanted.select("doc").distinct(), "ids")
         held = self.texts.join(ids, self.texts["doc_id"].eqNullSafe(ids["doc"]), "left_semi")
         sets = held.select("text").mapInArrow(keyed_sets(self.settings.width), "key binary, shingles array<long>")
         sets = stage(sets.join(wanted.select("node", "key"), "key").dropDuplicates(["node"]).select("node", "shingles"), "sets")

@@ -19,7 +19,9 @@ from digestry.session import stage
 TOKENS = re.compile(rb"[A-Za-z0-9\x80-\xff]+|[^\sA-Za-z0-9\x80-\xff]+")
 SHAPES = ("lower", "upper", "title", "digits", "signs", "other")
 HELD_TOKENS = 400_000
-CHUNK = 1 << 16
+# Tokens without a vector of their own whose row a task remembers, and tokens that are summed at once.
+HELD_ROWS = 1 << 16
+CHUNK = 1 << 13
 
 
 @dataclass(frozen=True)
@@ -49,7 +51,7 @@ class Index(dict):
 
     def __missing__(self, token: bytes) -> int:
         row = self.shapes[shape(token)]
-        if len(self) < self.listed + HELD_TOKENS:
+        if len(self) < self.listed + HELD_ROWS:
             self[token] = row
         return row
 
