@@ -11,9 +11,17 @@ from digestry.session import scratch_path
 
 
 def read_files(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Parquet files of one name as a stream; the schema comes from the files' footers."""
-    schema = spark.read.parquet(f"{folder}/{name}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+    """A Parquet table, one file or a folder of files, as a stream; the schema comes from the files' footers.
+
+    A stream starts from a folder: that of the table, or for a single file the
+    one around it with all other names left out.
+    """
+    path = f"{folder}/{name}"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", name).parquet(folder)
 
 
 def dedupe(

@@ -20,6 +20,15 @@ def files(spark, folder, batches, schema):
     return spark.readStream.schema(spark.read.parquet(f"{folder}/in-0").schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(folder))
 
 
+def test_a_table_of_one_or_many_files_is_a_stream(spark, tmp_path):
+    spark.range(10).repartition(3).write.parquet(f"{tmp_path}/many.parquet")
+    spark.range(10, 15).coalesce(1).write.parquet(f"{tmp_path}/written")
+    next((tmp_path / "written").glob("part-*.parquet")).rename(tmp_path / "one.parquet")
+    for name, ids in (("many.parquet", range(10)), ("one.parquet", range(10, 15))):
+        got = ingest.run_to_table(ingest.read_files(spark, str(tmp_path), name), "t-files")
+        assert sorted(r["id"] for r in got.collect()) == list(ids)
+
+
 def test_repeats_are_dropped_across_batches(spark, tmp_path):
     day = datetime(2026, 8, 1)
     batches = [[("a", 1, day), ("a", 2, day), ("b", 3, day)], [("a", 4, day + timedelta(days=1)), ("c", 5, day)]]
