@@ -55,3 +55,17 @@ def test_texts_are_gone_before_the_first_shuffle_of_candidates(spark):
 def test_scans_read_only_needed_columns(spark):
     plan = plan_of(entry.queries()["source_status"](spark, SF))
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
+
+
+@pytest.fixture(scope="module")
+def folders(spark, tmp_path_factory):
+    """The same tables, each as a folder of three files."""
+    root = tmp_path_factory.mktemp("folders")
+    for table in ("documents", "labels"):
+        spark.read.parquet(f"{SF}/{table}.parquet").repartition(3).write.parquet(f"{root}/{table}.parquet")
+    return str(root)
+
+
+@pytest.mark.parametrize("name", ["stream_antijoin"])
+def test_streams_over_folders_equal_their_sql(spark, connection, folders, name):
+    assert compare(spark, SF, name, connection, show=False, frame=entry.queries()[name](spark, folders)) is None
