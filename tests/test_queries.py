@@ -66,6 +66,6 @@ def folders(spark, tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("name", ["stream_antijoin"])
+@pytest.mark.parametrize("name", ["stream_antijoin", "stream_dedupe"])
 def test_streams_over_folders_equal_their_sql(spark, connection, folders, name):
     assert compare(spark, SF, name, connection, show=False, frame=entry.queries()[name](spark, folders)) is None
