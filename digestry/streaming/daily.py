@@ -74,28 +74,50 @@ def ingest_step(root: str, order: Sequence[Column], key: str = "id") -> Step:
     return step
 
 
-def daily_digest_step(root: str, taxonomy: Taxonomy, settings: Settings) -> Step:
-    """Keep the best rows for each business day of arrival and kind, however the rows are cut into batches.
+def score_arrivals(rows: DataFrame, taxonomy: Taxonomy, settings: Settings, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows scored by the clock of their own arrival, as row-local work of the scan; the text ends here.
 
-    The clock is the arrival of each row: its window, its recency and its day
-    follow from it. The state is the current digests; a batch takes those of the
-    days it touches, adds its own best rows and writes them again. Best of best is
-    best, and ids are unique (see `ingest_step`), so order and size of batches do
-    not matter. State grows by the daily target for each day and kind.
+    `fit` marks rows with evidence inside their window. Texts of rows outside it are
+    not looked at: such a row is nothing but the first arrival of its id.
+    """
+    clock = F.col("arrived_at")
+    timely = F.coalesce(in_window(F.col("published_at"), F.col("kind"), clock, None), F.lit(False))
+    seen = rows.withColumn("timely", timely).withColumn("excerpt", F.when(F.col("timely"), F.col("excerpt")))
+    scored = annotate(seen, taxonomy, settings, clock, keep=("arrived_at", "timely", *keep))
+    return scored.select(
+        "id", "kind", "row_key", "source_id", "source_weight", "published_at", "arrived_at", *keep, "metadata_score",
+        (F.col("timely") & F.col("has_evidence")).alias("fit"),
+    )
+
+
+def scored_digest_step(root: str, daily_target: int) -> Step:
+    """Keep the best fit rows for each business day of arrival and kind, however the rows are cut into batches.
+
+    The state is the current digests; a batch takes those of the days it touches,
+    adds its own best rows and writes them again. Best of best is best, and ids are
+    unique (see `ingest_step`), so order and size of batches do not matter. State
+    grows by the daily target for each day and kind.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        clock = F.col("arrived_at")
-        seen = batch.where(in_window(F.col("published_at"), F.col("kind"), clock, None))
-        scored = annotate(seen, taxonomy, settings, clock, keep=("arrived_at",)).where("has_evidence")
-        rows = scored.select(
-            business_date(clock).alias("digest_date"), "kind", "id", "source_id", "published_at", "metadata_score"
+        rows = batch.where("fit").select(
+            business_date(F.col("arrived_at")).alias("digest_date"), "kind", "id", "source_id", "published_at", "metadata_score"
         )
-        top = stage(best_per_key(rows, DIGEST_KEYS, score_order(), settings.daily_target, "rank"), "batch-best")
+        top = stage(best_per_key(rows, DIGEST_KEYS, score_order(), daily_target, "rank"), "batch-best")
         before = newest(batch.sparkSession, root, DIGEST_KEYS, batch_id)
         if before is not None:
             top = before.join(top.select(*DIGEST_KEYS).distinct(), list(DIGEST_KEYS), "left_semi").unionByName(top)
-        write_batch(best_per_key(top.drop("rank"), DIGEST_KEYS, score_order(), settings.daily_target, "rank"), root, batch_id)
+        write_batch(best_per_key(top.drop("rank"), DIGEST_KEYS, score_order(), daily_target, "rank"), root, batch_id)
+
+    return step
+
+
+def daily_digest_step(root: str, taxonomy: Taxonomy, settings: Settings) -> Step:
+    """`scored_digest_step` for batches that still carry their texts: each row is scored first."""
+    digest = scored_digest_step(root, settings.daily_target)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        digest(score_arrivals(batch, taxonomy, settings), batch_id)
 
     return step
 

@@ -144,3 +144,21 @@ def test_an_unfinished_batch_is_not_read(spark, tmp_path):
     spark.createDataFrame([("b",)], "id string").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").mode("overwrite").parquet(f"{tmp_path}/version=1")
     assert [r["id"] for r in daily.batches_before(spark, str(tmp_path)).collect()] == ["a"]
     assert daily.batches_before(spark, str(tmp_path), 0) is None
+
+
+def test_batches_do_not_grow_with_files(spark):
+    """A large table makes many files for each arrival; here every partition of the shuffle makes one."""
+    from digestry.plans import q_streams
+
+    rows = spark.range(400).select(
+        F.concat(F.lit("i"), F.col("id") % 90).alias("id"), F.col("id").alias("row_key"), F.lit("s").alias("source_id"), F.lit(1.0).alias("source_weight"),
+        F.lit(ZERO).alias("published_at"), (F.col("id") % q_streams.ARRIVALS).alias("arrival"), F.lit(ZERO).alias("arrived_at"),
+    )
+    numbers = []
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        stream = q_streams.arrivals(rows)
+        ingest.run_batches(stream, "t-arrivals", lambda batch, number: numbers.append((number, batch.count())))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    assert len(numbers) <= q_streams.BATCHES and sum(n for _, n in numbers) == rows.select("id", "arrival").distinct().count()
