@@ -84,9 +84,14 @@ def reading_rows(chosen: DataFrame) -> DataFrame:
     return chosen.select("id", "kind", "row_key", F.when(is_paper, paper).alias("paper_reading"), F.when(~is_paper, blog).alias("blog_reading"))
 
 
-def first_half(spark: SparkSession, sf_dir: str) -> StageOutputs:
+def staged_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, made from their texts once: history, state and both ends of relations need them."""
+    return stage(roles.document_ids(spark, sf_dir), "document-ids")
+
+
+def first_half(spark: SparkSession, sf_dir: str, ids: DataFrame) -> StageOutputs:
     """What is handed to the second half: the shortlist with metadata, its readings, failures and relations."""
-    top = stage(prefilter.top_candidates(roles.eligible_candidates(spark, sf_dir), SETTINGS), "prefiltered")
+    top = stage(prefilter.top_candidates(roles.eligible_candidates(spark, sf_dir, ids), SETTINGS), "prefiltered")
     requested = metadata.assign_batches(roles.with_excerpts(spark, sf_dir, top), prefilter.score_order(), SETTINGS.batch_size)
     returned = answers(requested)
     batches = stage(metadata.validate_batches(requested, returned, ["batch"], LABEL_IDS, SCRIPT), "batches")
@@ -105,7 +110,7 @@ def first_half(spark: SparkSession, sf_dir: str) -> StageOutputs:
         "shortlist",
     )
     read = reading_rows(candidates).withColumn("code", readings.failure_code(key % 23 == 0, readings.quality_reason(F.col("kind"), F.col("paper_reading"), F.col("blog_reading"))))
-    relations = roles.relations(spark, sf_dir).join(candidates.select("id"), "id", "left_semi")
+    relations = roles.relations(spark, sf_dir, ids).join(candidates.select("id"), "id", "left_semi")
     manifests = spark.createDataFrame([(name, "run-1", "1") for name in ("first", "papers", "blogs")], "stage string, run_id string, schema_version string")
     states = candidates.groupBy("source_id").agg(F.max("published_at").alias("last_success_at"))
     return StageOutputs(
@@ -120,22 +125,23 @@ def first_half(spark: SparkSession, sf_dir: str) -> StageOutputs:
     )
 
 
-def previous_state(spark: SparkSession, sf_dir: str) -> PreviousState:
+def previous_state(spark: SparkSession, sf_dir: str, ids: DataFrame) -> PreviousState:
     zero = F.lit(0).cast("bigint")
-    known = roles.state_ids(spark, sf_dir).withColumns({"run": zero, "part": zero})
+    known = roles.state_ids(spark, sf_dir, ids).withColumns({"run": zero, "part": zero})
     none = F.lit(None).cast("string")
     old = spark.createDataFrame([("src0",), ("old-source",)], "source_id string").select("source_id", F.lit("before").alias("cursor"), none.alias("etag"), F.lit("then").alias("last_modified"), F.lit(roles.LAST_SUCCESS).cast("timestamp").alias("last_success_at"))
     return PreviousState(known, old)
 
 
-def second_half(spark: SparkSession, sf_dir: str, given: StageOutputs, number: int) -> Run:
-    return integrate(given, previous_state(spark, sf_dir), TAXONOMY, SETTINGS, NOW, number, MODEL, MINIMUM_FINAL, SCRIPT)
+def second_half(spark: SparkSession, sf_dir: str, given: StageOutputs, number: int, ids: DataFrame) -> Run:
+    return integrate(given, previous_state(spark, sf_dir, ids), TAXONOMY, SETTINGS, NOW, number, MODEL, MINIMUM_FINAL, SCRIPT)
 
 
 @query
 def run_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of a run with their scores, kept relations and place in the digest."""
-    run = second_half(spark, sf_dir, first_half(spark, sf_dir), 1)
+    ids = staged_ids(spark, sf_dir)
+    run = second_half(spark, sf_dir, first_half(spark, sf_dir, ids), 1, ids)
     ranks = run.digest.select(F.col("item_id").alias("id"), F.col("rank").cast("bigint").alias("rank"), "reason")
     return run.items.join(ranks, "id", "left").select(
         "id", "kind", "source", "title", F.md5("abstract").alias("abstract_hash"), F.round("relevance_score", 6).alias("relevance"),
@@ -162,10 +168,11 @@ def publish_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from digestry.sources.publish import current_run
 
-    root, given = scratch_path(spark, "published"), first_half(spark, sf_dir)
+    root, ids = scratch_path(spark, "published"), staged_ids(spark, sf_dir)
+    given = first_half(spark, sf_dir, ids)
     foreign = spark.createDataFrame([("first", "run-2", "1"), ("papers", "run-2", "1"), ("blogs", "run-1", "1")], given.manifests.schema)
     tries = {1: given, 2: replace(given, manifests=foreign), 3: replace(given, readings=given.readings.limit(0))}
-    verdicts = [(str(number), outcome(second_half(spark, sf_dir, try_, number), root, number)) for number, try_ in tries.items()]
+    verdicts = [(str(number), outcome(second_half(spark, sf_dir, try_, number, ids), root, number)) for number, try_ in tries.items()]
     seen = current_run(spark, root)
     tables = seen.tables
     text = lambda *columns: F.concat_ws(" ", *columns)

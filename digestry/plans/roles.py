@@ -141,24 +141,25 @@ def document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @plan
-def state_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_ids(spark, sf_dir).where(F.col("row_key") % 17 == 0).select("id", F.col("row_key").alias("pos"))
+def state_ids(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
+    """`ids`, here and below: the document ids as a staged table, for queries that need them several times."""
+    return (document_ids(spark, sf_dir) if ids is None else ids).where(F.col("row_key") % 17 == 0).select("id", F.col("row_key").alias("pos"))
 
 
 @plan
-def digest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def digest_ids(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
     toxic = table(spark, sf_dir, "labels").where(F.col("toxic") == 1).select(F.col("doc_id").alias("row_key"))
-    return document_ids(spark, sf_dir).join(toxic, "row_key", "left_semi")
+    return (document_ids(spark, sf_dir) if ids is None else ids).join(toxic, "row_key", "left_semi")
 
 
 @plan
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history_ids(state_ids(spark, sf_dir), digest_ids(spark, sf_dir))
+def history(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
+    return history_ids(state_ids(spark, sf_dir, ids), digest_ids(spark, sf_dir, ids))
 
 
 @plan
-def eligible_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return eligible(candidates(spark, sf_dir), history(spark, sf_dir), TAXONOMY, SETTINGS, NOW)
+def eligible_candidates(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
+    return eligible(candidates(spark, sf_dir), history(spark, sf_dir, ids), TAXONOMY, SETTINGS, NOW)
 
 
 @plan
@@ -253,9 +254,9 @@ def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @plan
-def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def relations(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
     """Relations of documents in long form; every seventh points to a label instead of a document."""
-    ids = document_ids(spark, sf_dir)
+    ids = document_ids(spark, sf_dir) if ids is None else ids
     events = event_documents(spark, sf_dir).select(
         "doc_id",
         F.col("event_id").alias("pos"),

@@ -69,3 +69,12 @@ def folders(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", ["stream_antijoin", "stream_dedupe"])
 def test_streams_over_folders_equal_their_sql(spark, connection, folders, name):
     assert compare(spark, SF, name, connection, show=False, frame=entry.queries()[name](spark, folders)) is None
+
+
+def test_a_run_makes_document_ids_from_texts_once(spark):
+    from digestry.plans import q_run, roles
+
+    ids = q_run.staged_ids(spark, SF)
+    assert "text:string" in plan_of(roles.document_ids(spark, SF))
+    for frame in (roles.history(spark, SF, ids), roles.relations(spark, SF, ids), q_run.previous_state(spark, SF, ids).recommended):
+        assert "text:string" not in plan_of(frame)
