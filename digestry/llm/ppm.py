@@ -25,13 +25,16 @@ HELD_WORDS = 400_000
 @dataclass(frozen=True)
 class PpmSettings:
     """`order` bytes of context, at most 6. Grams that make up at least one part in `parts` of all training bytes are
-    looked up while scanning, at most `parts` of them, and words that make up one part in `head` of the tokens, at most
-    `head` of them. All others are scored by joins with the full counts, so neither setting changes a score.
+    looked up while scanning, and words that make up one part in `head` of the tokens: of both the most frequent only,
+    at most `most_grams` and `most_words`. All others are scored by joins with the full counts, so no setting changes a
+    score. Shares, not ranks, decide where these bounds leave room, so what is joined grows as the input does.
     """
 
     order: int = 5
-    parts: int = 1 << 20
-    head: int = 1 << 16
+    parts: int = 1 << 23
+    head: int = 1 << 20
+    most_grams: int = 1 << 20
+    most_words: int = 1 << 17
 
 
 def grams(text: bytes, order: int) -> Iterator[np.ndarray]:
@@ -184,6 +187,19 @@ def scorer(order: int, codes: np.ndarray, lengths: np.ndarray, head: dict[bytes,
     return run
 
 
+def looked_up(counts: DataFrame, total: int, parts: int, most: int) -> DataFrame:
+    """The rows of `counts` whose n is at least one part in `parts` of `total`, the most frequent ones only and at most `most`."""
+    step = F.floor(F.log2("n") * 16)  # some hundred values whatever the counts
+    frequent = counts.where(F.col("n") * parts >= total)
+    least, rows = None, 0
+    for found in sorted(frequent.groupBy(step.alias("step")).count().collect(), reverse=True):
+        rows += found["count"]
+        if rows > most:
+            break
+        least = found["step"]
+    return frequent.where(F.lit(False) if least is None else step >= least)
+
+
 def mask(size: int) -> Column:
     return F.lit((1 << 8 * size) - 1).cast("long")
 
@@ -208,7 +224,7 @@ def novel_lengths(novel: DataFrame, counts: DataFrame, order: int) -> DataFrame:
     """
     entries = {order: counts.select(F.col("gram").alias("code"), "n")}
     for level in range(order - 1, -1, -1):
-        entries[level] = stage(entries[level + 1].select(F.col("code").bitwiseAND(mask(level + 1)).alias("code"), "n").groupBy("code").agg(F.sum("n").alias("n")), f"order{level}")
+        entries[level] = stage(entries[level + 1].select(F.col("code").bitwiseAND(mask(level + 1)).alias("code"), "n").groupBy("code").agg(F.sum("n").alias("n")), f"order{level}", tidy=True)
     small = lambda df, level: F.broadcast(df) if level < 2 else df
     none = F.lit(0).cast("long")
     state = novel.select("gram", F.lit(0.0).alias("length"), F.lit(False).alias("done"), none.alias("gone"), none.alias("excluded"))
@@ -246,26 +262,28 @@ def lm_scores(docs: DataFrame, settings: PpmSettings | None = None, divisor: int
     settings = settings or PpmSettings()
     rows = docs.select("doc_id", (crc_mod(F.col("doc_id"), divisor) == held).alias("held_out"), text_of().alias("text"))
     counted = rows.where("NOT held_out").select("text").mapInArrow(gathered(settings.order), "gram long, word binary, n long")
-    counts = stage(counted.groupBy("gram", "word").agg(F.sum("n").alias("n")), "counts")
+    counts = stage(counted.groupBy("gram", "word").agg(F.sum("n").alias("n")), "counts", tidy=True)
     words = counts.where("gram IS NULL").select("word", "n")
     seen = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct")).first()
     tokens, distinct = seen["tokens"] or 0, seen["distinct"]
-    frequent = words.where(F.col("n") * settings.head >= tokens).toPandas()  # at most settings.head rows
-    head = dict(zip((bytes(w) for w in frequent["word"]), np.log10(frequent["n"].to_numpy(float) + 1).tolist(), strict=True))
+    frequent = looked_up(words, tokens, settings.head, settings.most_words).toArrow()  # at most settings.most_words rows
+    head = dict(zip(frequent["word"].to_pylist(), np.log10(frequent["n"].to_numpy() + 1.0).tolist(), strict=True))
 
     whole = counts.where("gram IS NOT NULL").agg(F.sum("n")).first()[0] or 0
     counts = counts.where("gram IS NOT NULL").select("gram", "n")
-    lengths = stage(lengths_of(counts), "lengths", compression="zstd")
-    often = lengths.where(F.col("n") * settings.parts >= whole).select("gram", "length").orderBy("gram").toPandas()  # at most settings.parts rows
-    run = scorer(settings.order, often["gram"].to_numpy(np.int64).astype(np.uint64), often["length"].to_numpy(float), head)
+    lengths = stage(lengths_of(counts), "lengths", compression="zstd", tidy=True)
+    often = looked_up(lengths, whole, settings.parts, settings.most_grams).select("gram", "length").toArrow()  # at most settings.most_grams rows
+    codes = often["gram"].to_numpy().astype(np.uint64)
+    at = np.argsort(codes)
+    run = scorer(settings.order, codes[at], often["length"].to_numpy()[at], head)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     scored = rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens long, known long, logs double, seen_score double, tail array<binary>, grams array<long>, times array<int>")
-    scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "scored", compression="zstd")
+    scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "scored", compression="zstd", tidy=True)
     tails = scored.select("row", F.explode("tail").alias("word")).join(words, "word", "left")
     rare = tails.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("more_logs"), F.count("n").alias("more_known"))
     pairs = scored.select("row", "held_out", F.explode(F.arrays_zip("grams", "times")).alias("pair")).select("row", "held_out", F.col("pair.grams").alias("gram"), F.col("pair.times").alias("times"))
     # Only texts that were held out can have grams that the counts do not have.
-    novel = stage(pairs.where("held_out").select("gram").distinct().join(counts, "gram", "left_anti"), "novel")
+    novel = stage(pairs.where("held_out").select("gram").distinct().join(counts, "gram", "left_anti"), "novel", tidy=True)
     every = lengths.select("gram", "length").unionByName(novel_lengths(novel, counts, settings.order))
     tail_scores = pairs.join(every, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("length")).alias("tail_length"))
     score = F.col("seen_score") - F.coalesce("tail_length", F.lit(0.0))

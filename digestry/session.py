@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 STAGING_CONF = "digestry.staging.dir"
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Settings every job relies on. Partition counts and memory belong to the cluster and are not set here.
 JOB_CONF = {
@@ -77,16 +78,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{application_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str = "snappy", tidy: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Used where several branches of one plan read the same result of a large
     scan. A written table survives lost executors and carries its size, so the
-    planner can choose broadcast joins from real numbers.
+    planner can choose broadcast joins from real numbers. With `tidy` the shuffle
+    files of this write go as soon as it is done, not when the driver happens to
+    collect its garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").option("compression", compression).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF)
+    try:
+        spark.conf.set(SHUFFLE_CLEANUP_CONF, str(tidy or before == "true").lower())
+        df.write.mode("errorifexists").option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

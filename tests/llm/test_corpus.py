@@ -11,7 +11,7 @@ import corpus_pipeline
 from digestry.llm.catalog import tokenizer_path
 from digestry.llm.mixing import mix, write_mix
 from digestry.llm.ordered import running_sums
-from digestry.llm.ppm import EDGE, PpmSettings, Trie, grams, lm_scores
+from digestry.llm.ppm import EDGE, PpmSettings, Trie, grams, lm_scores, looked_up
 from digestry.llm.quality import quality_scores
 from digestry.llm.token_files import decode_numbers, encode_numbers, read_token_files, token_digest, write_token_files
 from tests.llm.fixtures import BASE, documents, edge_rows, spaced_words, tuples
@@ -162,6 +162,41 @@ def test_settings_of_the_head_do_not_change_scores(spark):
     assert sorted(((r["doc_id"], round(r["score"], 6)) for r in got), key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("most", [0, 5, 1000])
+def test_bounds_of_the_head_do_not_change_scores(spark, most):
+    rows = [(r[0], r[1] and r[1][:400]) for r in edge_rows()]
+    train = [(t or "").encode().lower() for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    got = lm_scores(documents(spark, rows), PpmSettings(order=3, most_grams=most, most_words=most)).collect()
+    want = [(i, round(plain_ppm(train, (t or "").encode().lower(), 3), 6)) for i, t in rows]
+    assert sorted(((r["doc_id"], round(r["score"], 6)) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_head_has_the_most_frequent_within_its_bound(spark):
+    counts = spark.createDataFrame([(i, n) for i, n in enumerate([100, 70, 70, 40, 9, 9, 9, 1])], "gram long, n long")
+    ids = lambda parts, most: sorted(r["gram"] for r in looked_up(counts, 308, parts, most).collect())
+    assert ids(308, 100) == list(range(8)) and ids(35, 100) == list(range(7))
+    assert ids(308, 5) == [0, 1, 2, 3] and ids(308, 2) == [0] and ids(308, 0) == []
+
+
+def test_tidy_staging_leaves_no_shuffle_files(spark):
+    import time
+
+    from digestry.session import SHUFFLE_CLEANUP_CONF, stage
+
+    def shuffle_files():
+        return set(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split()) - {""}
+
+    before, conf = shuffle_files(), spark.conf.get(SHUFFLE_CLEANUP_CONF)
+    rows = stage(spark.range(1000).groupBy("id").count(), "tidy", tidy=True)
+    for _ in range(50):  # they go in the background
+        left = {name for name in shuffle_files() - before if name.startswith("shuffle_")}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP_CONF) == conf
+    assert rows.count() == 1000
+
+
 def test_lm_without_training_rows(spark):
     alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     row = lm_scores(documents(spark, [(alone, "abc")])).first()
