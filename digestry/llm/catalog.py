@@ -58,9 +58,9 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from digestry.llm.token_files import token_digest
+    from digestry.llm.token_files import REMEMBERED_ALONE, token_digest
 
-    return token_digest(table(spark, sf_dir, "documents"), tokenizer_path())
+    return token_digest(table(spark, sf_dir, "documents"), tokenizer_path(), remembered=REMEMBERED_ALONE)
 
 
 @query

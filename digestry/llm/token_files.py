@@ -21,7 +21,9 @@ END_ID = 1
 # A block is closed at the first document end past so many ids.
 BLOCK_IDS = 1 << 18
 # Encoded pieces of text after which a worker starts a new memory, keeping the one before; results do not depend on it.
+# A job that has its workers to itself can remember more, some 170 bytes a piece.
 REMEMBERED = 300_000
+REMEMBERED_ALONE = 1_000_000
 
 # For each control byte, which of the 16 bytes of four numbers are stored: two bits a number, bytes less one.
 STORED = np.array([[byte <= (control >> 2 * number) & 3 for number in range(4) for byte in range(4)] for control in range(256)])
@@ -71,7 +73,7 @@ class PieceEncoder:
     whole, which gives that token its own id.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -81,6 +83,7 @@ class PieceEncoder:
         self.kind = id_kind(self.tokenizer)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -90,7 +93,7 @@ class PieceEncoder:
         return LETTER_RUNS.findall(text.lower())
 
     def learn(self, listed: list[list[str]]) -> None:
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known, self.older = {}, self.known
         new = set().union(*listed).difference(self.known)
         again = new.intersection(self.older)
@@ -125,10 +128,10 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=1)
-def worker_encoder(path: str) -> PieceEncoder:
+def worker_encoder(path: str, remembered: int) -> PieceEncoder:
     """One for all tasks that a Python worker runs."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
-    return PieceEncoder(path)
+    return PieceEncoder(path, remembered)
 
 
 def id_kind(tokenizer) -> str:
@@ -136,11 +139,11 @@ def id_kind(tokenizer) -> str:
     return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def encoder(tokenizer_path: str, end_id: int):
+def encoder(tokenizer_path: str, end_id: int, remembered: int):
     """Batches of (doc_id, tie, text) to (doc_id, tie, ids as little-endian numbers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = worker_encoder(tokenizer_path)
+        own = worker_encoder(tokenizer_path, remembered)
         end = np.array([end_id], own.kind).tobytes()
         for batch in batches:
             ids = [x + end for x in own.encode(batch.column("text").to_pylist())]
@@ -196,7 +199,7 @@ BLOCK = pa.schema([("part", pa.int32()), ("first", pa.int64()), ("n", pa.int64()
 BLOCK_TYPE = "part int, first long, n long, doc_ids array<long>, counts array<long>, control binary, data binary"
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
+def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS, remembered: int = REMEMBERED) -> None:
     """Encode every text and write the ids below `path`, documents in ascending doc_id order.
 
     `ranks` has the ids by frequency over the whole corpus, one row for each id
@@ -211,7 +214,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
 
     spark, kind = docs.sparkSession, id_kind(Tokenizer.from_file(tokenizer_path))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), text_of().alias("text"))
-    coded = stage(rows.mapInArrow(encoder(tokenizer_path, end_id), "doc_id long, tie long, ids binary"), "ids", compression="zstd")
+    coded = stage(rows.mapInArrow(encoder(tokenizer_path, end_id, remembered), "doc_id long, tie long, ids binary"), "ids", compression="zstd")
     counts = coded.select("ids").mapInArrow(id_counter(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     ranked = counts.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.int64)
     spark.createDataFrame([(rank, int(token)) for rank, token in enumerate(ranked)], "rank long, id long").write.parquet(f"{path}/ranks")
@@ -255,8 +258,8 @@ def read_token_files(spark: SparkSession, path: str, digest: bool = False) -> Da
     return docs.join(F.broadcast(ahead), "part").select("doc_id", (F.col("ahead") + F.col("inside")).alias("start"), "n_tokens", F.col("last").alias(name))
 
 
-def token_digest(docs: DataFrame, tokenizer_path: str, path: str | None = None) -> DataFrame:
+def token_digest(docs: DataFrame, tokenizer_path: str, path: str | None = None, remembered: int = REMEMBERED) -> DataFrame:
     """Write the files, read them back and return doc_id, start, n_tokens and the checksum of the ids."""
     path = path or scratch_path(docs.sparkSession, "tokens")
-    write_token_files(docs, tokenizer_path, path)
+    write_token_files(docs, tokenizer_path, path, remembered=remembered)
     return read_token_files(docs.sparkSession, path, digest=True)

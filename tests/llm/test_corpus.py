@@ -178,6 +178,18 @@ def test_head_has_the_most_frequent_within_its_bound(spark):
     assert ids(308, 5) == [0, 1, 2, 3] and ids(308, 2) == [0] and ids(308, 0) == []
 
 
+@pytest.mark.parametrize("remembered", [0, 3, 1000])
+def test_what_an_encoder_remembers_does_not_change_ids(remembered):
+    from tokenizers import Tokenizer
+
+    from digestry.llm.token_files import PieceEncoder
+
+    own, plain = PieceEncoder(tokenizer_path(), remembered), Tokenizer.from_file(tokenizer_path())
+    for texts in (["the mill, the river", "été du moulin 42"], ["the river's mill"], ["", "mill mill <|endoftext|>", "the mill, the river"]):
+        assert [np.frombuffer(x, own.kind).tolist() for x in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(own.known) <= remembered + 20
+
+
 def test_tidy_staging_leaves_no_shuffle_files(spark):
     import time
 
