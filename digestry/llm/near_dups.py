@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from digestry.llm.graph_parts import components
+from digestry.llm.lean import lean
 from digestry.llm.texts import text_of
 from digestry.session import stage
 
@@ -229,7 +230,7 @@ class NearSets:
         self.spark = docs.sparkSession
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
         schema = "doc_id long, n long, key binary, sign binary, bands array<long>"
-        self.rows = stage(self.texts.mapInArrow(summarizer(self.settings), schema), "signatures")
+        self.rows = stage(self.texts.mapInArrow(lean(summarizer(self.settings)), schema), "signatures")
         own = self.rows.where("n > 0")
         grouped = own.groupBy("key").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sign").alias("sign"), F.first("bands").alias("bands"))
         self.nodes = stage(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -247,7 +248,7 @@ class NearSets:
         pairs = stage(one_way(pairs), "pairs")
         signs = self.nodes.select("node", "sign")
         signed = pairs.join(signs.select(F.col("node").alias("a"), F.col("sign").alias("sign_a")), "a").join(signs.select(F.col("node").alias("b"), F.col("sign").alias("sign_b")), "b")
-        return signed.mapInArrow(pruner(self.settings), "a long, b long")
+        return signed.mapInArrow(lean(pruner(self.settings)), "a long, b long")
 
     def pruned_blocks(self, members: DataFrame) -> DataFrame:
         """Of all members of a bucket that are in different components, the pairs whose signatures pass.
@@ -263,7 +264,7 @@ class NearSets:
         low = packed.select("bucket", "band", F.col("block").alias("low"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("high"), "left")
         high = packed.select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("low"), F.col("block").alias("high"), F.col("left").alias("right"))
         met = low.join(high, ["bucket", "low", "high"]).select("band", F.expr("low = high").alias("same"), "left", "right")
-        return met.mapInArrow(block_pruner(self.settings), "a long, b long")
+        return met.mapInArrow(lean(block_pruner(self.settings)), "a long, b long")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Of (a, b) pairs of nodes, those whose whole sets are similar enough."""
@@ -273,7 +274,7 @@ class NearSets:
         # Written, so that the planner joins by its real size.
         ids = stage(wanted.select("doc").distinct(), "ids")
         held = self.texts.join(ids, self.texts["doc_id"].eqNullSafe(ids["doc"]), "left_semi")
-        sets = held.select("text").mapInArrow(keyed_sets(self.settings.width), "key binary, shingles array<long>")
+        sets = held.select("text").mapInArrow(lean(keyed_sets(self.settings.width)), "key binary, shingles array<long>")
         sets = stage(sets.join(wanted.select("node", "key"), "key").dropDuplicates(["node"]).select("node", "shingles"), "sets")
         both = alive.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
         counted = both.select("a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("_common"), (F.size("of_a") + F.size("of_b")).alias("_all"))
@@ -337,7 +338,7 @@ def with_set_key(rows: DataFrame, out: str, settings: NearSettings | None = None
             sets = shingle_sets([text or "" for text in batch.column("text").to_pylist()], width)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([set_key(x) if len(x) else None for x in sets], pa.binary())], [*batch.schema.names, out])
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, BinaryType())]))
+    return rows.mapInArrow(lean(run), StructType([*rows.schema.fields, StructField(out, BinaryType())]))
 
 
 def near_duplicates(docs: DataFrame, settings: NearSettings | None = None) -> DataFrame:

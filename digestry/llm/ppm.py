@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from digestry.llm.lean import lean
 from digestry.llm.texts import crc_mod, text_of
 from digestry.session import stage
 
@@ -261,7 +262,7 @@ def lm_scores(docs: DataFrame, settings: PpmSettings | None = None, divisor: int
     """
     settings = settings or PpmSettings()
     rows = docs.select("doc_id", (crc_mod(F.col("doc_id"), divisor) == held).alias("held_out"), text_of().alias("text"))
-    counted = rows.where("NOT held_out").select("text").mapInArrow(gathered(settings.order), "gram long, word binary, n long")
+    counted = rows.where("NOT held_out").select("text").mapInArrow(lean(gathered(settings.order)), "gram long, word binary, n long")
     counts = stage(counted.groupBy("gram", "word").agg(F.sum("n").alias("n")), "counts", tidy=True)
     words = counts.where("gram IS NULL").select("word", "n")
     seen = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct")).first()
@@ -277,7 +278,7 @@ def lm_scores(docs: DataFrame, settings: PpmSettings | None = None, divisor: int
     at = np.argsort(codes)
     run = scorer(settings.order, codes[at], often["length"].to_numpy()[at], head)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, n_tokens long, known long, logs double, seen_score double, tail array<binary>, grams array<long>, times array<int>")
+    scored = rows.mapInArrow(lean(run), f"doc_id {id_type}, held_out boolean, n_tokens long, known long, logs double, seen_score double, tail array<binary>, grams array<long>, times array<int>")
     scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "scored", compression="zstd", tidy=True)
     tails = scored.select("row", F.explode("tail").alias("word")).join(words, "word", "left")
     rare = tails.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("more_logs"), F.count("n").alias("more_known"))

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from digestry.llm.lean import lean
 from digestry.llm.texts import crc_mod, text_of
 from digestry.session import stage
 
@@ -223,22 +224,22 @@ def quality_scores(docs: DataFrame, labels: DataFrame, settings: QualitySettings
     settings = settings or QualitySettings()
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", (crc_mod(F.col("doc_id"), divisor) == held).alias("held_out"), text_of().alias("text"))
-    counts = stage(rows.select("text").mapInArrow(count_tokens, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
+    counts = stage(rows.select("text").mapInArrow(lean(count_tokens), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
     whole = counts.agg(F.sum("n")).first()[0] or 0
     listed = counts.where(F.col("n") * settings.words >= whole).toPandas()  # at most settings.words rows
     words = [bytes(w) for w in listed.assign(token=listed["token"].map(bytes)).sort_values(["n", "token"], ascending=[False, True])["token"]]
     columns = [f"v{k}" for k in range(settings.size)]
-    summed = rows.select("text").mapInArrow(context_sums(words, settings), "row long, " + ", ".join(f"{c} long" for c in columns))
+    summed = rows.select("text").mapInArrow(lean(context_sums(words, settings)), "row long, " + ", ".join(f"{c} long" for c in columns))
     sums = summed.groupBy("row").agg(*(F.sum(c).alias(c) for c in columns)).toPandas()  # at most settings.words + len(SHAPES) rows
     contexts = np.zeros((len(words) + len(SHAPES), settings.size))
     contexts[sums["row"].to_numpy(int)] = sums[columns].to_numpy(float)
     own = index_vectors(len(contexts), settings)[:-1] / settings.nonzero**0.5
     vectors = (contexts / (np.linalg.norm(contexts, axis=1, keepdims=True) + 1e-9) + own).astype(np.float32)
-    pooled = stage(rows.mapInArrow(pooler(words, vectors), f"doc_id {id_type}, held_out boolean, features binary"), "features")
+    pooled = stage(rows.mapInArrow(lean(pooler(words, vectors)), f"doc_id {id_type}, held_out boolean, features binary"), "features")
     marks = labels.where("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
     taught = pooled.where("NOT held_out").join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "features", "quality").limit(settings.train_rows)
     taught = taught.select("features", "quality").toPandas()  # at most settings.train_rows rows
     if taught.empty:
         return pooled.select("doc_id", "held_out", F.lit(0.5).alias("score"), F.lit(int(settings.threshold <= 0.5)).alias("predicted"))
     net = fit(np.stack([np.frombuffer(x, "<f4") for x in taught["features"]]).astype(np.float64), taught["quality"].to_numpy(float), settings)
-    return pooled.mapInArrow(applied(net, settings.threshold), f"doc_id {id_type}, held_out boolean, score double, predicted int")
+    return pooled.mapInArrow(lean(applied(net, settings.threshold)), f"doc_id {id_type}, held_out boolean, score double, predicted int")

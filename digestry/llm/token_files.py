@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from digestry.llm.lean import lean
 from digestry.llm.texts import text_of
 from digestry.session import scratch_path, stage
 
@@ -214,15 +215,15 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
 
     spark, kind = docs.sparkSession, id_kind(Tokenizer.from_file(tokenizer_path))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), text_of().alias("text"))
-    coded = stage(rows.mapInArrow(encoder(tokenizer_path, end_id, remembered), "doc_id long, tie long, ids binary"), "ids", compression="zstd")
-    counts = coded.select("ids").mapInArrow(id_counter(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    coded = stage(rows.mapInArrow(lean(encoder(tokenizer_path, end_id, remembered)), "doc_id long, tie long, ids binary"), "ids", compression="zstd")
+    counts = coded.select("ids").mapInArrow(lean(id_counter(kind)), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     ranked = counts.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.int64)
     spark.createDataFrame([(rank, int(token)) for rank, token in enumerate(ranked)], "rank long, id long").write.parquet(f"{path}/ranks")
     rank_of = np.zeros(int(ranked.max(initial=0)) + 1, np.uint32)
     rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
     sorted_rows = coded.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
-    sorted_rows.mapInArrow(packer(rank_of, kind, block_ids), BLOCK_TYPE).write.option("compression", "zstd").parquet(f"{path}/blocks")
+    sorted_rows.mapInArrow(lean(packer(rank_of, kind, block_ids)), BLOCK_TYPE).write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
 def unpacker(id_of: np.ndarray, digest: bool):
@@ -251,7 +252,7 @@ def read_token_files(spark: SparkSession, path: str, digest: bool = False) -> Da
     ranks = spark.read.parquet(f"{path}/ranks").toPandas().sort_values("rank")  # at most the vocabulary
     blocks = spark.read.schema(BLOCK_TYPE).parquet(f"{path}/blocks")
     kind, name = ("long", "ids_crc32") if digest else ("binary", "ids")
-    docs = blocks.mapInArrow(unpacker(ranks["id"].to_numpy("<u4"), digest), f"part int, doc_id long, inside long, n_tokens long, last {kind}")
+    docs = blocks.mapInArrow(lean(unpacker(ranks["id"].to_numpy("<u4"), digest)), f"part int, doc_id long, inside long, n_tokens long, last {kind}")
     # One row for each range that was written.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ahead = blocks.groupBy("part").agg(F.sum("n").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
