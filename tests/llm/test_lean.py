@@ -5,6 +5,7 @@ import sys
 from pathlib import Path
 
 from digestry.llm.near_dups import near_duplicates
+from digestry.llm.ppm import lm_scores
 from digestry.llm.quality import quality_scores
 from tests.llm.fixtures import documents
 
@@ -50,3 +51,11 @@ def test_operators_of_the_pipeline_send_lean_functions(spark, monkeypatch):
     assert quality_scores(docs, labels).count() == 12
     assert near_duplicates(docs).where("kept").count() == 3
     assert len(sent) >= 6 and {f.__module__ for f in sent} == {"digestry.llm.lean"}
+
+
+def test_the_language_model_sends_lean_functions(spark, monkeypatch):
+    kind, sent = type(spark.range(1)), []
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, func, *a, **b: sent.append(func) or plain(self, func, *a, **b))
+    assert lm_scores(documents(spark, [(i, f"the quick brown fox {i}", "s") for i in range(12)])).count() == 12
+    assert len(sent) == 2 and {f.__module__ for f in sent} == {"digestry.llm.lean"}
