@@ -39,6 +39,10 @@ _NARROW = "".join(chr(code - 0xFEE0) for code in range(0xFF01, 0xFF5F)) + " "
 
 _WIDE_ANY = r"[\x{ff01}-\x{ff5e}\x{3000}]"
 
+# The same and full-width characters: what texts need the long way for.
+_RARE_OR_WIDE = _RARE_SPACE.replace(r"\x{3001}-\x{10ffff}", r"\x{3001}-\x{ff00}\x{ff5f}-\x{10ffff}")
+_RARE_ASCII = r"[\x0b\x0c\x1c\x1d\x1e\x1f]"
+
 # The CJK ranges that mark a displayable Chinese summary.
 CJK = r"[\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}]"
 
@@ -50,24 +54,33 @@ def _nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
 
 
-def collapse(text: Column) -> Column:
-    """Runs of whitespace become one space, ends trimmed.
+def _has(text: Column, pattern: str) -> Column:
+    """Whether a pattern of rare characters occurs; texts of ASCII alone are asked for those of its characters that are ASCII."""
+    return F.when(F.octet_length(text) == F.length(text), text.rlike(_RARE_ASCII)).otherwise(text.rlike(pattern))
 
-    Texts with nothing but spaces, tabs and line breaks, which is most of them,
-    get by with byte replacements; the full pattern is several times slower.
-    """
+
+def _collapse_plain(text: Column) -> Column:
+    """`collapse` of a text whose only whitespace is spaces, tabs and line breaks."""
 
     def squeeze(spaced: Column) -> Column:
         return F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced)
 
-    def choose(t: Column) -> Column:
-        spaced = t
-        for char in "\n\t\r":
-            spaced = F.replace(spaced, F.lit(char), F.lit(" "))
-        full = F.regexp_replace(t, WHITESPACE + "+", " ")
-        return F.trim(F.when(t.rlike(_RARE_SPACE), full).otherwise(let(spaced, squeeze)))
+    for char in "\n\t\r":
+        text = F.replace(text, F.lit(char), F.lit(" "))
+    return F.trim(let(text, squeeze))
+
+
+def _collapse_any(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, WHITESPACE + "+", " "))
 
-    return let(text, choose)
+
+def collapse(text: Column) -> Column:
+    """Runs of whitespace become one space, ends trimmed.
+
+    Texts with nothing but spaces, tabs and line breaks, which is most of them,
+    get by with byte replacements; the full pattern is several times slower.
+    """
+    return let(text, lambda t: F.when(_has(t, _RARE_SPACE), _collapse_any(t)).otherwise(_collapse_plain(t)))
 
 
 def strip(text: Column) -> Column:
@@ -88,7 +101,12 @@ def normalize_title(text: Column, full_nfkc: bool = False) -> Column:
     text = F.coalesce(text, F.lit(""))
     if full_nfkc:
         return collapse(fold(_nfkc(text)))
-    return let(text, lambda t: collapse(fold(F.when(t.rlike(_WIDE_ANY), F.translate(t, _WIDE, _NARROW)).otherwise(t))))
+
+    def choose(t: Column) -> Column:  # one search for both kinds of rare characters; folding makes neither
+        narrow = F.when(t.rlike(_WIDE_ANY), F.translate(t, _WIDE, _NARROW)).otherwise(t)
+        return F.when(_has(t, _RARE_OR_WIDE), _collapse_any(fold(narrow))).otherwise(_collapse_plain(fold(t)))
+
+    return let(text, choose)
 
 
 # Single-pass entity decoding ---------------------------------------------------------------------

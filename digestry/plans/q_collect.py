@@ -167,9 +167,10 @@ def term_matches_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms of a table found in every candidate: how many, and a digest of them."""
     text = terms.candidate_text(F.col("title"), F.col("excerpt"), F.col("categories"))
     texts = roles.candidates(spark, sf_dir).select("kind", "row_key", text.alias("text_norm"))
-    found = terms.match_terms(texts, large_vocabulary(spark, sf_dir), ["kind", "row_key"])
-    listed = F.array_join(F.array_sort(F.collect_list("term")), "|")
-    return found.groupBy("kind", "row_key").agg(F.count("*").alias("n_terms"), F.md5(listed).alias("terms_hash"))
+    found = terms.matched_terms(texts, large_vocabulary(spark, sf_dir), ["row_key", "kind"])
+    return found.select(
+        "kind", "row_key", F.size("terms").cast("bigint").alias("n_terms"), F.md5(F.array_join("terms", "|")).alias("terms_hash")
+    )
 
 
 @query

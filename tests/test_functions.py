@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import html
+import re
 from datetime import datetime
 
 import pytest
@@ -138,3 +139,13 @@ def test_business_date_turns_at_sixteen_utc(spark):
     assert got == ["2026-08-14", "2026-08-15"]
 
 
+
+
+def test_normalising_equals_the_long_way_for_every_kind_of_rare_character(spark):
+    codes = [0x0B, 0x0C, 0x1C, 0x1F, 0x85, 0xA0, 0xE9, 0xDF, 0x1680, 0x2000, 0x200B, 0x2028, 0x202F, 0x205F, 0x3000, 0x3001, 0xFF00, 0xFF01, 0xFF21, 0xFF5E, 0xFF5F, 0x1F600]
+    odd = [*map(chr, codes), "\n\t", "  "]
+    values = [f" A{one}{two}b " for one in odd for two in ["", *odd]]
+    spaces = "[\t-\r\x1c-\x20\x85\xa0  -     　]+"
+    wide = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
+    want = [re.sub(spaces, " ", v.translate(wide).lower().replace("\xdf", "ss")).strip(" ") for v in values]
+    assert apply(spark, values, text.normalize_title) == want

@@ -59,6 +59,27 @@ def test_both_matchers_agree_with_a_plain_search(spark):
     assert set(rows) == want and len(rows) == len(want)
 
 
+def test_terms_gathered_by_text_are_those_of_the_rows_and_move_once(spark):
+    texts = [(1, "the c++ of the c++ thing"), (1, "the end"), (2, "nothing"), (3, "of the, the"), (4, "")]
+    data = spark.createDataFrame(texts, "id bigint, text_norm string").repartition(3)
+    vocabulary = spark.createDataFrame([(t,) for t in ("the", "of the", "c++", "thing", "the,", "end")], "term string")
+    gathered = terms.matched_terms(data, vocabulary)
+    assert {r["id"]: r["terms"] for r in gathered.collect()} == {1: ["c++", "end", "of the", "the", "thing"], 3: ["of the", "the", "the,"]}
+    rows = terms.match_terms(data, vocabulary).groupBy("id").agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    assert sorted(map(tuple, gathered.collect())) == sorted(map(tuple, rows.collect()))
+    text_ready = spark.createDataFrame(texts, "id bigint, text_norm string")
+    plan = terms.matched_terms(text_ready, vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_collect_set" in plan
+
+
+def test_token_pattern_cuts_as_the_plain_one(spark):
+    rng = random.Random(11)
+    signs = list(" abz_09,.-+'\n\t") + ["\u00e9", "\u00df", "\u0301", "\u200d", "\u203f", "\u00a0", "\u4e2d", "\u0660", "\U0001d400", "\U0001f600", "A"]
+    data = spark.createDataFrame([("".join(rng.choices(signs, k=rng.randint(0, 40))),) for _ in range(2000)], "t string")
+    plain = F.regexp_extract_all("t", F.lit(r"(?U)\w+|\W"), F.lit(0))
+    assert data.where(~terms.tokens(F.col("t")).eqNullSafe(plain)).count() == 0
+
+
 def test_repeated_terms_count_twice(spark):
     hits = F.array(F.lit("a"), F.lit("b"))
     row = spark.range(1).select(
