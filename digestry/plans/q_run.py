@@ -15,6 +15,7 @@ from digestry.plans.catalog import query
 from digestry.plans.roles import LABEL_IDS, MINIMUM_FINAL, NOW, SCRIPT, SETTINGS, TAXONOMY, pick
 from digestry.session import scratch_path, stage
 from digestry.sources.item_store import merge_items, read_items
+from digestry.sources.publish import Published, current_run
 from digestry.sources.publish import publish_run as publish
 from digestry.sources.store import PublishRefused
 
@@ -159,27 +160,13 @@ def outcome(run: Run, root: str, number: int) -> str:
     return "published"
 
 
-@query
-def publish_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run is published, one of foreign stages and one without readings are refused; then what readers see.
-
-    Rows are (part, id, value): the verdicts, the state, items, digest,
-    recommended ids in order, source states, the report and warnings.
-    """
-    from digestry.sources.publish import current_run
-
-    root, ids = scratch_path(spark, "published"), staged_ids(spark, sf_dir)
-    given = first_half(spark, sf_dir, ids)
-    foreign = spark.createDataFrame([("first", "run-2", "1"), ("papers", "run-2", "1"), ("blogs", "run-1", "1")], given.manifests.schema)
-    tries = {1: given, 2: replace(given, manifests=foreign), 3: replace(given, readings=given.readings.limit(0))}
-    verdicts = [(str(number), outcome(second_half(spark, sf_dir, try_, number, ids), root, number)) for number, try_ in tries.items()]
-    seen = current_run(spark, root)
+def seen_parts(seen: Published) -> dict[str, DataFrame]:
+    """What readers see of a published run, as (id, value) by part; a run that kept no item has none to show."""
     tables = seen.tables
     text = lambda *columns: F.concat_ws(" ", *columns)
-    parts = {
-        "verdict": spark.createDataFrame(verdicts, "id string, value string"),
+    items = {} if seen.items is None else {"item": seen.items.select("id", text("folder", "year", "month").alias("value"))}
+    return items | {
         "state": seen.state.select(F.col("run").cast("string").alias("id"), text(F.col("items_version"), roles.stamp(F.col("last_success_at")), F.col("size_warning").cast("string")).alias("value")),
-        "item": seen.items.select("id", text("folder", "year", "month").alias("value")),
         "digest": tables["digest"].select(F.col("item_id").alias("id"), text("kind", F.col("rank").cast("string"), "reason").alias("value")),
         "recommended": tables["recommended"].select("id", text(F.col("part").cast("string"), F.col("pos").cast("string")).alias("value")),
         "source": tables["source_states"].select(F.col("source_id").alias("id"), text("cursor", "etag", "last_modified", roles.stamp(F.col("last_success_at"))).alias("value")),
@@ -189,8 +176,26 @@ def publish_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "warning": tables["warnings"].select("at", "warning").groupBy(F.col("at").alias("id")).agg(F.array_join(F.array_sort(F.collect_list("warning")), "; ").alias("value")),
     }
+
+
+@query
+def publish_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run is published, one of foreign stages and one without readings are refused; then what readers see.
+
+    Rows are (part, id, value): the verdicts, the state, items, digest,
+    recommended ids in order, source states, the report and warnings. The gates
+    hold for the first run too: where they refuse it, readers see nothing and the
+    verdicts are all there is.
+    """
+    root, ids = scratch_path(spark, "published"), staged_ids(spark, sf_dir)
+    given = first_half(spark, sf_dir, ids)
+    foreign = spark.createDataFrame([("first", "run-2", "1"), ("papers", "run-2", "1"), ("blogs", "run-1", "1")], given.manifests.schema)
+    tries = {1: given, 2: replace(given, manifests=foreign), 3: replace(given, readings=given.readings.limit(0))}
+    verdicts = [(str(number), outcome(second_half(spark, sf_dir, try_, number, ids), root, number)) for number, try_ in tries.items()]
+    seen = current_run(spark, root)
+    parts = {"verdict": spark.createDataFrame(verdicts, "id string, value string")}
     result = None
-    for name, frame in parts.items():
+    for name, frame in (parts if seen is None else parts | seen_parts(seen)).items():
         part = frame.select(F.lit(name).alias("part"), "id", "value")
         result = part if result is None else result.unionByName(part)
     return result

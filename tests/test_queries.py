@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from check import compare, connect
@@ -78,3 +79,15 @@ def test_a_run_makes_document_ids_from_texts_once(spark):
     assert "text:string" in plan_of(roles.document_ids(spark, SF))
     for frame in (roles.history(spark, SF, ids), roles.relations(spark, SF, ids), q_run.previous_state(spark, SF, ids).recommended):
         assert "text:string" not in plan_of(frame)
+
+
+def test_a_refused_first_run_shows_its_verdicts_only(spark, tmp_path):
+    """Every document asks for an unknown label, so no batch of papers is sound and the gate refuses all three runs."""
+    for table in ("documents", "labels", "pages", "events"):
+        rows = spark.read.parquet(f"{SF}/{table}.parquet")
+        (rows.withColumn("doc_id", F.col("doc_id") * 97 + 96) if "doc_id" in rows.columns else rows).write.parquet(f"{tmp_path}/{table}.parquet")
+    rows = {(r["part"], r["id"]): r["value"] for r in entry.queries()["publish_run"](spark, str(tmp_path)).collect()}
+    assert sorted(rows) == [("verdict", "1"), ("verdict", "2"), ("verdict", "3")]
+    assert rows["verdict", "1"] == "gate failed: metadata_rate"
+    assert rows["verdict", "2"] == "gate failed: manifests, metadata_rate"
+    assert {"metadata_rate", "reading_results"} <= set(rows["verdict", "3"].removeprefix("gate failed: ").split(", "))
